@@ -41,4 +41,4 @@ def split_lines(text: Column) -> Column:
 
 
 def numbered_line(line_no: Column, line: Column) -> Column:
-    return F.format_string("  %5d %s", line_no + 1, line)
+    return F.when(line_no.isNotNull(), F.format_string("  %5d %s", line_no + 1, line))
