@@ -26,6 +26,14 @@ def co_symbols(graph: CodeGraph, sites: DataFrame) -> DataFrame:
     )
 
 
+def _rules(recognizers):
+    """Token lists as plain values, so that they become fixed patterns of the plan."""
+    if isinstance(recognizers, DataFrame):
+        row = recognizers.select("recognizers.*").first()
+        return Recognizers(**{key: tuple(tokens) for key, tokens in row.asDict().items()})
+    return recognizers or Recognizers()
+
+
 def event_flow_sites(
     graph: CodeGraph, queries: DataFrame, recognizers=None, limit=EVENT_FLOW_LIMIT, **options,
 ) -> DataFrame:
@@ -38,14 +46,7 @@ def event_flow_sites(
     sites = references.join(co_symbols(graph, references), ["file", "start_line"], "left").withColumn(
         "co_names", F.coalesce("co_names", F.array().cast("array<string>")),
     )
-    if isinstance(recognizers, DataFrame):
-        # One configuration row, so the size of this broadcast is fixed.
-        sites = sites.withColumn("_one", F.lit(1)).join(
-            F.broadcast(recognizers.limit(1).withColumn("_one", F.lit(1))), "_one",
-        )
-        rules = F.col("recognizers")
-    else:
-        rules = recognizers or Recognizers()
+    rules = _rules(recognizers)
     return sites.select(
         "query_id", "name", "symbol", "display_name", "file", "start_line", "end_line",
         events.classify_site(F.col("file"), F.col("co_names"), rules).alias("flow_role"),
