@@ -6,8 +6,9 @@ from ..functions import events, monikers, paths, ranges, roles, text
 from ..functions.sql import register_sql_functions
 from ..operators.grep import source_lines
 from ..sources import starschema
+from ..sources.starschema import text_files
 from . import sql
-from .inputs import raw_graph, table, text_files
+from .inputs import raw_graph, table
 from .registry import register
 
 _PARTS = f"WITH {sql.PARTS}"

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import monikers
 from ..operators import build, kubernetes, protobuf, terraform
 from ..sources import star_inputs
-from . import sql
+from . import inputs, sql
 from .registry import register
 
 PER_CHUNK = 3
@@ -30,7 +30,7 @@ occ AS (SELECT *, CAST(line AS VARCHAR) || ',' || CAST(ch AS VARCHAR) || ',' ||
 
 
 def _occurrences(spark, folder):
-    return star_inputs.star_occurrences(spark, folder)
+    return inputs.occurrences(spark, folder)
 
 
 @register("clear_bad_ranges", f"""{_OCCURRENCES} SELECT source, relative_path, symbol, role, range,
@@ -50,13 +50,13 @@ _MISSING = "SELECT DISTINCT source, relative_path, symbol FROM occ WHERE (role &
 @register("add_missing_symbols", f"""{_OCCURRENCES} SELECT source, relative_path, symbol FROM ({_MISSING}
 UNION ALL SELECT DISTINCT source, relative_path, symbol FROM occ WHERE symbol NOT LIKE 'local%')""")
 def _(spark, folder):
-    info = star_inputs.star_symbol_info(spark, folder)
+    info = inputs.symbol_info(spark, folder)
     return build.add_missing_symbols(_occurrences(spark, folder), info).select("source", "relative_path", "symbol")
 
 
 @register("missing_symbol_counts", f"{_OCCURRENCES} SELECT source, count(*) AS inserted FROM ({_MISSING}) GROUP BY source")
 def _(spark, folder):
-    return build.missing_symbol_counts(_occurrences(spark, folder), star_inputs.star_symbol_info(spark, folder))
+    return build.missing_symbol_counts(_occurrences(spark, folder), inputs.symbol_info(spark, folder))
 
 
 @register("defined_symbols", f"{_OCCURRENCES} SELECT DISTINCT source, relative_path, symbol FROM occ WHERE (role & 1) = 1")
@@ -90,7 +90,7 @@ def _(spark, folder):
 
 def _built(spark, folder):
     return build.build_graph(
-        _occurrences(spark, folder), star_inputs.star_symbol_info(spark, folder), per_chunk=PER_CHUNK,
+        _occurrences(spark, folder), inputs.symbol_info(spark, folder), per_chunk=PER_CHUNK,
     )
 
 
@@ -152,14 +152,13 @@ occ AS (
   'scip-k8s . . . ' || name || '#' AS symbol, role, CAST(line AS VARCHAR) || ',0,0' AS range, CAST(NULL AS VARCHAR) AS enclosing_range
 FROM occ""")
 def _(spark, folder):
-    return _flat(kubernetes.k8s_occurrences(star_inputs.k8s_objects(spark, folder)))
+    return _flat(kubernetes.k8s_occurrences(inputs.k8s_objects(spark, folder)))
 
 
 @register("k8s_references", f"""{_K8S} SELECT source, 'scip-k8s . . . ' || name || '#' AS symbol, count(*) AS n
 FROM refs GROUP BY source, name""")
 def _(spark, folder):
-    valid = kubernetes.valid_objects(star_inputs.k8s_objects(spark, folder))
-    return kubernetes.object_references(valid).groupBy("source", "symbol").agg(F.count(F.lit(1)).alias("n"))
+    return kubernetes.object_references(inputs.k8s_objects(spark, folder)).groupBy("source", "symbol").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- Protobuf ---------------------------------------------------------------------------
@@ -180,7 +179,7 @@ occ AS (
   CAST(line AS VARCHAR) || ',' || CAST(step AS VARCHAR) || ',' || CAST(step + width AS VARCHAR) AS range,
   CAST(NULL AS VARCHAR) AS enclosing_range FROM occ""")
 def _(spark, folder):
-    return _flat(protobuf.proto_occurrences(*star_inputs.proto_tables(spark, folder)))
+    return _flat(protobuf.proto_occurrences(*inputs.proto_tables(spark, folder)))
 
 
 # --- Terraform --------------------------------------------------------------------------
@@ -198,26 +197,25 @@ occ AS (
 @register("terraform_occurrences", f"""{_TF} SELECT source, relative_path, 'scip-terraform . . . ' || d AS symbol, role,
   CAST(line AS VARCHAR) || ',' || CAST(a AS VARCHAR) || ',' || CAST(b AS VARCHAR) AS range, CAST(NULL AS VARCHAR) AS enclosing_range FROM occ""")
 def _(spark, folder):
-    responses, references = star_inputs.terraform_tables(spark, folder)
+    responses, references = inputs.terraform_tables(spark, folder)
     return _flat(terraform.terraform_occurrences(responses, references, star_inputs.TERRAFORM_ROOT))
 
 
 @register("terraform_documents", f"""{_TF} SELECT DISTINCT source, relative_path, 'terraform' AS language FROM occ""")
 def _(spark, folder):
-    responses, references = star_inputs.terraform_tables(spark, folder)
+    responses, references = inputs.terraform_tables(spark, folder)
     occurrences = terraform.terraform_occurrences(responses, references, star_inputs.TERRAFORM_ROOT)
     return terraform.terraform_documents(responses, occurrences, star_inputs.TERRAFORM_ROOT)
 
 
 @register("known_definitions", f"""{_K8S} SELECT DISTINCT source, 'scip-k8s . . . ' || name || '#' AS symbol FROM defs""")
 def _(spark, folder):
-    valid = kubernetes.valid_objects(star_inputs.k8s_objects(spark, folder))
-    return kubernetes.object_definitions(valid).select("source", "symbol").distinct()
+    return kubernetes.object_definitions(inputs.k8s_objects(spark, folder)).distinct()
 
 
 @register("package_symbol_counts", f"""{_PROTO} SELECT 'scip-proto' AS scheme, 'proto' AS manager, count(*) AS n FROM occ""")
 def _(spark, folder):
-    symbols = protobuf.proto_occurrences(*star_inputs.proto_tables(spark, folder)).filter(
+    symbols = protobuf.proto_occurrences(*inputs.proto_tables(spark, folder)).filter(
         monikers.is_package_symbol(F.col("symbol")),
     ).select(monikers.moniker_parts(F.col("symbol")).alias("p"))
     return symbols.groupBy("p.scheme", "p.manager").agg(F.count(F.lit(1)).alias("n"))

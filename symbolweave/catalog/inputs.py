@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from ..operators.grep import source_lines
 from ..operators.merge import merge_sources
-from ..sources.star_inputs import text_files
-from ..sources.starschema import star_graph, table
-from ..sources.store import stored_once
+from ..sources import star_inputs
+from ..sources.starschema import star_edges, star_graph, table, text_files
+from ..sources.store import stored_once, stored_table
 
 NAMES = ("red_widget", "WIDGET", "red_", "anvil", "local", "nothing_here", "", "org/small")
 SCOPES = ("repo-1/publisher/", "REPO-2/pkg/order_1", "repo-_/consumer/order_9", "repo-3", "nowhere", "")
@@ -26,8 +27,12 @@ def batch_names(spark, folder):
     return table(spark, folder, "part").select(name.alias("query_id"), name.alias("name")).distinct()
 
 
+def edges(spark, folder):
+    return stored_table(spark, f"edges{folder}", lambda: star_edges(spark, folder))
+
+
 def raw_graph(spark, folder):
-    return stored_once(spark, f"raw{folder}", lambda: star_graph(spark, folder), sites=False)
+    return stored_once(spark, f"raw{folder}", lambda: star_graph(spark, folder, edges(spark, folder)), sites=False)
 
 
 def merged_graph(spark, folder):
@@ -37,8 +42,38 @@ def merged_graph(spark, folder):
 
 
 def text_graph(spark, folder):
-    return stored_once(spark, f"text{folder}", lambda: star_graph(spark, folder, text_paths=True), sites=False)
+    return stored_once(spark, f"text{folder}", lambda: star_graph(spark, folder, edges(spark, folder), text_paths=True), sites=False)
+
+
+def text_lines(spark, folder):
+    return stored_table(spark, f"lines{folder}", lambda: source_lines(text_files(spark, folder)))
+
+
+def occurrences(spark, folder):
+    return stored_table(
+        spark, f"occurrences{folder}", lambda: star_inputs.star_occurrences(edges(spark, folder)),
+    )
+
 
+def symbol_info(spark, folder):
+    return stored_table(spark, f"info{folder}", lambda: star_inputs.star_symbol_info(occurrences(spark, folder)))
 
-__all__ = ["MESSAGES", "NAMES", "SCOPES", "batch_names", "merged_graph", "raw_graph", "rows", "table", "text_files",
-           "text_graph"]
+
+def k8s_objects(spark, folder):
+    return stored_table(spark, f"objects{folder}", lambda: star_inputs.k8s_objects(spark, folder))
+
+
+def proto_tables(spark, folder):
+    made = star_inputs.proto_tables
+    return (
+        stored_table(spark, f"declarations{folder}", lambda: made(edges(spark, folder))[0]),
+        stored_table(spark, f"spans{folder}", lambda: made(edges(spark, folder))[1]),
+    )
+
+
+def terraform_tables(spark, folder):
+    made = star_inputs.terraform_tables
+    return (
+        stored_table(spark, f"responses{folder}", lambda: made(edges(spark, folder))[0]),
+        stored_table(spark, f"uses{folder}", lambda: made(edges(spark, folder))[1]),
+    )

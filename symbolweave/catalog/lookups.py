@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.events import Recognizers, recognizers_from_json
 from ..operators import eventflow, grep, lookup, reports
 from . import sql
-from .inputs import MESSAGES, NAMES, batch_names, merged_graph, rows, text_files, text_graph
+from .inputs import MESSAGES, NAMES, batch_names, merged_graph, rows, text_graph, text_lines
 from .registry import register
 
 _ASKED = sql.values("name", NAMES)
@@ -297,7 +297,7 @@ _SHOWN = ["query_id", "symbol", "source", "file", "start_line", "truncated", "li
     end_line - start_line + 1 > 120 AS truncated FROM numbered WHERE rn <= 50)"""))
 def _(spark, folder):
     found = lookup.find_definitions(text_graph(spark, folder), batch_names(spark, folder))
-    lines = grep.source_lines(text_files(spark, folder))
+    lines = text_lines(spark, folder)
     return grep.window_lines(grep.definition_bodies(found), lines).select(*_SHOWN)
 
 
@@ -306,7 +306,7 @@ def _(spark, folder):
     false AS truncated FROM found)"""))
 def _(spark, folder):
     found = lookup.find_references(text_graph(spark, folder), batch_names(spark, folder), limit=15)
-    lines = grep.source_lines(text_files(spark, folder))
+    lines = text_lines(spark, folder)
     return grep.window_lines(grep.reference_windows(found), lines).select(*_SHOWN)
 
 
@@ -326,7 +326,7 @@ GROUP BY w.query_id, w.part"""
 
 @register("grep_symbols", _PARTS)
 def _(spark, folder):
-    lines = grep.source_lines(text_files(spark, folder))
+    lines = text_lines(spark, folder)
     shown = grep.grep_symbols(text_graph(spark, folder), batch_names(spark, folder), lines, context=9999)
     return shown.groupBy("query_id", "part").agg(
         F.count("line").alias("n_lines"), F.coalesce(F.sum(F.length("line")), F.lit(0)).alias("n_chars"),

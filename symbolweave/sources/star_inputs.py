@@ -5,7 +5,8 @@ They feed the ingest operators with input whose size grows with the given tables
 
 from pyspark.sql import functions as F
 
-from .starschema import line_edges, part_monikers, repository, table, text_files
+from .. import schema
+from .starschema import repository, table
 
 WORKLOADS = ("Deployment", "CronJob", "Pod", "RoleBinding", "Ingress", "StatefulSet")
 
@@ -86,9 +87,9 @@ def k8s_objects(spark, folder):
     return secrets.unionByName(accounts).unionByName(workloads)
 
 
-def proto_tables(spark, folder):
+def proto_tables(edges):
     """One schema file per order with a message per line, a nested enum and a service."""
-    lines = line_edges(spark, folder).select("source", "doc_id", "l_linenumber").distinct()
+    lines = edges.select("source", "doc_id", "l_linenumber").distinct()
     file = F.concat(F.lit("api/order_"), F.col("doc_id").cast("string"), F.lit(".proto"))
     n = (F.col("l_linenumber") - 1).cast("int")
     text = F.col("l_linenumber").cast("string")
@@ -136,11 +137,9 @@ def proto_tables(spark, folder):
 TERRAFORM_ROOT = "/work/space"
 
 
-def terraform_tables(spark, folder):
+def terraform_tables(edges):
     """One file per order whose symbols are its lines, each used once from the next file."""
-    lines = line_edges(spark, folder).join(part_monikers(spark, folder), "part_id").groupBy(
-        "source", "doc_id", "l_linenumber",
-    ).agg(F.min("part_id").alias("part_id"))
+    lines = edges.groupBy("source", "doc_id", "l_linenumber").agg(F.min("part_id").alias("part_id"))
     line = F.col("l_linenumber") * 10
     kind = F.element_at(F.array(*[F.lit(k) for k in (23, 5, 13, 8, 6)]), (F.col("l_linenumber") % 5 + 1).cast("int"))
     point = lambda a, b: F.struct(a.cast("int").alias("line"), F.lit(b).alias("character"))
@@ -167,10 +166,8 @@ def terraform_tables(spark, folder):
     return responses, references
 
 
-def star_occurrences(spark, folder):
+def star_occurrences(edges):
     """Occurrences of the order documents: one per line item, some with enclosing ranges."""
-    lines = table(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "doc_id")
-    edges = line_edges(spark, folder).join(part_monikers(spark, folder), "part_id")
     line = ((F.col("l_linenumber") - 1) * 20 + F.col("part_id") % 20).cast("int")
     char = (F.col("part_id") % 40).cast("int")
     end = (F.col("part_id") % 7 - 1).cast("int")
@@ -181,10 +178,9 @@ def star_occurrences(spark, folder):
     ).distinct()
 
 
-def star_symbol_info(spark, folder):
+def star_symbol_info(occurrences):
     """Descriptions of the symbols that are not local."""
-    from .. import schema
-    found = star_occurrences(spark, folder).filter(~F.startswith("symbol", F.lit("local"))).select(
+    found = occurrences.filter(~F.startswith("symbol", F.lit("local"))).select(
         "source", "relative_path", "symbol",
     ).distinct()
     for field in schema.SYMBOL_INFO.fields:

@@ -79,9 +79,14 @@ def line_edges(spark, folder) -> DataFrame:
     return lines.join(orders, "doc_id").distinct()
 
 
-def star_graph(spark: SparkSession, folder: str, text_paths: bool = False) -> CodeGraph:
-    """Five sources side by side, not yet merged."""
-    edges = line_edges(spark, folder).join(part_monikers(spark, folder), "part_id")
+def star_edges(spark, folder) -> DataFrame:
+    """Line edges with the moniker of their part."""
+    return line_edges(spark, folder).join(part_monikers(spark, folder), "part_id")
+
+
+def star_graph(spark: SparkSession, folder: str, edges: DataFrame | None = None, text_paths: bool = False) -> CodeGraph:
+    """Five sources side by side, not yet merged. ``edges`` may be a stored ``star_edges``."""
+    edges = star_edges(spark, folder) if edges is None else edges
     chunk_id = F.col("doc_id") * 10 + F.col("l_linenumber")
     chunk_index = F.col("l_linenumber") - 1
     owned = edges.groupBy("source", "symbol").agg(F.min("part_id").alias("symbol_id"))
@@ -106,7 +111,7 @@ def star_graph(spark: SparkSession, folder: str, text_paths: bool = False) -> Co
         F.lit(None).cast("int").alias("kind"), F.lit(None).cast("string").alias("documentation"),
         F.when(F.col("target").isNotNull(), F.array(relationship)).alias("relationships"),
     )
-    chunks = line_edges(spark, folder).select(
+    chunks = edges.select(
         "source", chunk_id.alias("chunk_id"), "doc_id", chunk_index.cast("int").alias("chunk_index"),
         start_of("l_linenumber").alias("start_line"), (start_of("l_linenumber") + 19).alias("end_line"),
     ).distinct()

@@ -1,6 +1,5 @@
 """Graphs on disk: Parquet tables under one folder, written once and queried many times."""
 
-import os
 import tempfile
 
 from pyspark.errors import AnalysisException
@@ -101,16 +100,28 @@ def union_sources(spark: SparkSession, sources) -> CodeGraph:
 _STORED = {}
 
 
+def _folder_for(spark, name, write):
+    """Folder of a table set written once per application under the shared folder."""
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _STORED:
+        base = f"{shared_folder(spark)}/symbolweave/{spark.sparkContext.applicationId}"
+        folder = f"{base}/{name.strip('/').replace('/', '_')}"
+        write(folder)
+        _STORED[key] = folder
+    return _STORED[key]
+
+
 def stored_once(spark: SparkSession, name: str, build, **options) -> CodeGraph:
     """Build and write a graph once per application, then read it back.
 
     The written table cuts the lineage: a lost executor re-reads files instead of
     rebuilding the graph.
     """
-    key = (spark.sparkContext.applicationId, name)
-    if key not in _STORED:
-        base = f"{shared_folder(spark)}/symbolweave/{spark.sparkContext.applicationId}"
-        folder = os.path.join(base, name.strip("/").replace("/", "_"))
-        write_graph(build(), folder, **options)
-        _STORED[key] = folder
-    return load_graph(spark, _STORED[key])
+    return load_graph(spark, _folder_for(spark, name, lambda folder: write_graph(build(), folder, **options)))
+
+
+def stored_table(spark: SparkSession, name: str, build) -> DataFrame:
+    """The same for a single table that several jobs read."""
+    return spark.read.parquet(
+        _folder_for(spark, name, lambda folder: build().write.mode("overwrite").parquet(folder)),
+    )
