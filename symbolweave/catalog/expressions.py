@@ -144,7 +144,7 @@ def _(spark, folder):
         .otherwise(F.concat(F.lit("file://localhost/work/space/b/../c//"), k, F.lit(".tf?line=3#L1")))
     )
     return table(spark, folder, "orders").select(
-        "o_orderkey", paths.relative_to_root(paths.uri_to_path(uri), F.lit("/work/space/")).alias("relative_path"),
+        "o_orderkey", paths.relative_to_root(paths.uri_to_path(uri), "/work/space/").alias("relative_path"),
     )
 
 

@@ -1,5 +1,7 @@
 """Paths: labels, workspace checks and conversion of file URIs."""
 
+import posixpath
+
 from pyspark.sql import Column, functions as F
 
 
@@ -47,7 +49,10 @@ def path_inside_workspace(path: Column) -> Column:
 
 
 def normalise_path(path: Column) -> Column:
-    """Absolute path with ``.``, ``..`` and empty segments resolved."""
+    """Absolute path with ``.``, ``..`` and empty segments resolved.
+
+    Most paths hold none of them and are returned without being taken apart.
+    """
     empty = F.array().cast("array<string>")
     parts = F.aggregate(
         F.split(path, "/", -1),
@@ -56,16 +61,17 @@ def normalise_path(path: Column) -> Column:
         .when(part == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
         .otherwise(F.concat(acc, F.array(part))),
     )
-    return F.concat(F.lit("/"), F.array_join(parts, "/"))
+    plain = F.startswith(path, F.lit("/")) & ~path.rlike(r"/\.{0,2}(/|$)")
+    return F.when(plain, path).otherwise(F.concat(F.lit("/"), F.array_join(parts, "/")))
 
 
-def relative_to_root(path: Column, root: Column) -> Column:
+def relative_to_root(path: Column, root: str) -> Column:
     """Path relative to ``root``; a path outside the root keeps only its base name."""
-    full, base = normalise_path(path), normalise_path(root)
-    prefix = F.when(base == "/", base).otherwise(F.concat(base, F.lit("/")))
+    full, base = normalise_path(path), posixpath.normpath("/" + root.lstrip("/"))
+    prefix = base if base == "/" else base + "/"
     return (
         F.when(full == base, ".")
-        .when(F.startswith(full, prefix), F.substring(full, F.length(prefix) + 1, F.length(full)))
+        .when(F.startswith(full, F.lit(prefix)), F.substring(full, F.lit(len(prefix) + 1), F.length(full)))
         .otherwise(base_name(F.rtrim(path, F.lit("/"))))
     )
 
