@@ -97,3 +97,10 @@ def _(spark, folder):
     return merged_graph(spark, folder).sites().select(
         "source", "symbol", "role", F.col("relative_path").alias("file"), "start_line", "end_line",
     )
+
+
+@register("definition_sites", f"{sql.MERGED} SELECT source, symbol, file, start_line, start_char, end_line, end_char FROM rsites")
+def _(spark, folder):
+    return merged_graph(spark, folder).definition_sites().select(
+        "source", "symbol", F.col("relative_path").alias("file"), "start_line", "start_char", "end_line", "end_char",
+    )

@@ -21,7 +21,8 @@ class CodeGraph:
     """Documents, symbols, chunks, mentions and definition ranges of one or more sources.
 
     ``merged`` says that every moniker occurs in one symbol row only. ``stored_sites`` is
-    the edge table written by ``write_graph``; without it edges are joined on demand.
+    the edge table written by ``write_graph`` and ``stored_definitions`` the same for
+    definition ranges; without them the joins are made on demand.
     """
 
     documents: DataFrame
@@ -31,6 +32,7 @@ class CodeGraph:
     definition_ranges: DataFrame
     merged: bool = False
     stored_sites: DataFrame | None = None
+    stored_definitions: DataFrame | None = None
     site_buckets: int = SITE_BUCKETS
 
     def tables(self):
@@ -40,7 +42,7 @@ class CodeGraph:
         }
 
     def with_tables(self, **changes):
-        return replace(self, stored_sites=None, **changes)
+        return replace(self, stored_sites=None, stored_definitions=None, **changes)
 
     def sites(self) -> DataFrame:
         """Every mention with its file, line range and moniker (JOIN of the four tables)."""
@@ -50,6 +52,22 @@ class CodeGraph:
             *[name for name in schema.SITES.fieldNames() if name != "symbol_bucket"],
         )
 
+    def definition_sites(self) -> DataFrame:
+        """Every precise definition range with its file and moniker."""
+        if self.stored_definitions is not None:
+            return self.stored_definitions
+        return (
+            self.definition_ranges.join(self.symbols.select(*SYMBOL_KEY, "symbol"), SYMBOL_KEY)
+            .join(self.documents.select("source", "doc_id", "relative_path"), ["source", "doc_id"])
+            .select(*[name for name in schema.DEFINITION_SITES.fieldNames() if name != "symbol_bucket"])
+        )
+
+    def _by_bucket(self, table, keys):
+        """Join a stored table to some symbols; the bucket in the key lets the scan skip the
+        partitions of all others."""
+        asked = keys.withColumn("symbol_bucket", symbol_bucket(self.site_buckets))
+        return table.join(asked, ["symbol_bucket", *SYMBOL_KEY]).drop("symbol_bucket")
+
     def _locate(self, mentions):
         return mentions.join(
             self.chunks.select("source", "chunk_id", "doc_id", "start_line", "end_line"), ["source", "chunk_id"],
@@ -63,21 +81,20 @@ class CodeGraph:
         """
         located = ["source", "relative_path", "start_line", "end_line", "role"]
         if self.stored_sites is not None:
-            # The bucket in the join key lets the scan skip the partitions of other symbols.
             hits = self.stored_sites.filter(role_filter(F.col("role"))).select("symbol_bucket", *SYMBOL_KEY, *located)
-            asked = keys.withColumn("symbol_bucket", symbol_bucket(self.site_buckets))
-            return hits.join(asked, ["symbol_bucket", *SYMBOL_KEY]).drop("symbol_bucket")
+            return self._by_bucket(hits, keys)
         hits = self.mentions.filter(role_filter(F.col("role"))).join(keys, SYMBOL_KEY)
         return self._locate(hits).select(*keys.columns, *located)
 
     def range_sites(self, keys: DataFrame) -> DataFrame:
         """Precise definition ranges of the symbols in ``keys`` with their files."""
+        located = ["source", "relative_path", "start_line", "end_line", "start_char", "end_char"]
+        if self.stored_definitions is not None:
+            return self._by_bucket(self.stored_definitions.select("symbol_bucket", *SYMBOL_KEY, *located), keys)
         return (
             self.definition_ranges.join(keys, SYMBOL_KEY)
             .join(self.documents.select("source", "doc_id", "relative_path"), ["source", "doc_id"])
-            .select(
-                *keys.columns, "source", "relative_path", "start_line", "end_line", "start_char", "end_char",
-            )
+            .select(*keys.columns, *located)
         )
 
     def relationships(self) -> DataFrame:

@@ -17,13 +17,15 @@ def _with_name(df):
 
 def list_symbols(graph: CodeGraph, scopes: DataFrame, limit=MAX_RESULTS, boundary=False) -> DataFrame:
     """Definition ranges in documents under a path prefix. Empty scopes give nothing."""
-    documents = graph.documents.select("source", "doc_id", "relative_path")
-    inside = match_prefix(documents, "relative_path", scopes, boundary=boundary)
-    located = (
-        graph.definition_ranges.join(inside, ["source", "doc_id"])
-        .join(graph.symbols.select(*SYMBOL_KEY, "symbol"), SYMBOL_KEY)
-        .withColumnRenamed("relative_path", "file")
-    )
+    if graph.stored_definitions is not None:
+        located = match_prefix(graph.stored_definitions, "relative_path", scopes, boundary=boundary)
+    else:
+        documents = graph.documents.select("source", "doc_id", "relative_path")
+        inside = match_prefix(documents, "relative_path", scopes, boundary=boundary)
+        located = graph.definition_ranges.join(inside, ["source", "doc_id"]).join(
+            graph.symbols.select(*SYMBOL_KEY, "symbol"), SYMBOL_KEY,
+        )
+    located = located.withColumnRenamed("relative_path", "file")
     order = ["file", "start_line", "start_char", "end_line", "end_char", "symbol", "source"]
     capped = top_per_key(located, ["query_id"], [F.col(c) for c in order], limit)
     return _with_name(capped).select(

@@ -32,6 +32,11 @@ SITES = _struct(
     ("source", _S), ("symbol_source", _S), ("symbol_id", _L), ("symbol", _S), ("role", _I),
     ("relative_path", _S), ("start_line", _I), ("end_line", _I), ("symbol_bucket", _I),
 )
+# Read-optimised definition ranges: joined to their document and symbol.
+DEFINITION_SITES = _struct(
+    ("source", _S), ("symbol_source", _S), ("symbol_id", _L), ("symbol", _S), ("relative_path", _S),
+    ("start_line", _I), ("start_char", _I), ("end_line", _I), ("end_char", _I), ("symbol_bucket", _I),
+)
 OCCURRENCES = _struct(
     ("source", _S), ("relative_path", _S), ("symbol", _S), ("role", _I),
     ("range", T.ArrayType(_I)), ("enclosing_range", T.ArrayType(_I)),

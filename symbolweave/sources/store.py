@@ -29,7 +29,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def write_graph(graph: CodeGraph, folder: str, sites: bool = True, site_buckets: int = SITE_BUCKETS) -> None:
-    """Write the tables, partitioned by source, and the edge table, partitioned by symbol.
+    """Write the tables, partitioned by source, and the edge tables, partitioned by symbol.
 
     The rebalance hint gathers the rows of a partition into files of the advisory size: a
     source or symbol with most of the rows is split over many tasks and files, small ones
@@ -49,11 +49,12 @@ def write_graph(graph: CodeGraph, folder: str, sites: bool = True, site_buckets:
     spark = graph.documents.sparkSession
     if sites:
         stored = load_graph(spark, folder, merged=graph.merged, sites=False)
-        (
-            stored.sites().withColumn("symbol_bucket", symbol_bucket(site_buckets))
-            .hint("rebalance", "symbol_bucket").sortWithinPartitions("symbol_bucket", *SYMBOL_KEY)
-            .write.mode("overwrite").partitionBy("symbol_bucket").parquet(f"{folder}/sites")
-        )
+        for name, table in (("sites", stored.sites()), ("definition_sites", stored.definition_sites())):
+            (
+                table.withColumn("symbol_bucket", symbol_bucket(site_buckets))
+                .hint("rebalance", "symbol_bucket").sortWithinPartitions("symbol_bucket", *SYMBOL_KEY)
+                .write.mode("overwrite").partitionBy("symbol_bucket").parquet(f"{folder}/{name}")
+            )
     facts = spark.range(1).select(
         F.lit(graph.merged).alias("merged"), F.lit(sites).alias("sites"), F.lit(site_buckets).alias("site_buckets"),
     )
@@ -76,8 +77,11 @@ def load_graph(spark: SparkSession, folder: str, merged: bool | None = None, sit
         sites = found["sites"] if sites is None else sites
         buckets = found["site_buckets"]
     tables = {name: _read(spark, folder, name, fields, part) for name, (fields, part, _) in _LAYOUT.items()}
-    edge_table = _read(spark, folder, "sites", schema.SITES) if sites else None
-    return CodeGraph(**tables, merged=merged, stored_sites=edge_table, site_buckets=buckets)
+    return CodeGraph(
+        **tables, merged=merged, site_buckets=buckets,
+        stored_sites=_read(spark, folder, "sites", schema.SITES) if sites else None,
+        stored_definitions=_read(spark, folder, "definition_sites", schema.DEFINITION_SITES) if sites else None,
+    )
 
 
 def existing_graphs(spark: SparkSession, sources):

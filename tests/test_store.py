@@ -34,6 +34,10 @@ def test_round_trip_gives_the_same_answers(spark, pair, ask, frame, tmp_path):
     assert rows(files.get_imports(stored, paths)) == rows(files.get_imports(merged, paths)) != []
     spots = frame(schema.POSITIONS, [("q", "svc/h.go", 70), ("r", "svc/h.go", 4)])
     assert rows(files.symbols_at(stored, spots)) == rows(files.symbols_at(merged, spots)) != []
+    scopes = frame(schema.SCOPES, [("q", "LIB/"), ("r", "svc")])
+    assert rows(files.list_symbols(stored, scopes)) == rows(files.list_symbols(merged, scopes)) != []
+    sites = ["symbol", "relative_path", "start_line", "end_char"]
+    assert rows(stored.definition_sites(), *sites) == rows(merged.definition_sites(), *sites) != []
     columns = ["symbol", "role", "relative_path", "start_line"]
     assert rows(stored.sites(), *columns) == rows(merged.sites(), *columns)
 
