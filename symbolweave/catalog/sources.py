@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from ..constants import LANGUAGES
 from ..sources import listing, snapshots, star_inputs
-from . import sql
 from .inputs import table
 from .registry import register
 

@@ -11,6 +11,11 @@ SYMBOL_KEY = ["symbol_source", "symbol_id"]
 SITE_BUCKETS = 64
 
 
+def file_bucket(path, buckets=SITE_BUCKETS):
+    """Partition of the file-side edge table that holds a path."""
+    return F.pmod(F.xxhash64(path), F.lit(buckets)).cast("int")
+
+
 def symbol_bucket(buckets=SITE_BUCKETS):
     """Partition of the edge table that holds a symbol."""
     return F.pmod(F.xxhash64(*SYMBOL_KEY), F.lit(buckets)).cast("int")
@@ -21,8 +26,9 @@ class CodeGraph:
     """Documents, symbols, chunks, mentions and definition ranges of one or more sources.
 
     ``merged`` says that every moniker occurs in one symbol row only. ``stored_sites`` is
-    the edge table written by ``write_graph`` and ``stored_definitions`` the same for
-    definition ranges; without them the joins are made on demand.
+    the edge table written by ``write_graph``, ``stored_file_sites`` the same edges by file
+    and ``stored_definitions`` the definition ranges; without them the joins are made on
+    demand.
     """
 
     documents: DataFrame
@@ -33,6 +39,7 @@ class CodeGraph:
     merged: bool = False
     stored_sites: DataFrame | None = None
     stored_definitions: DataFrame | None = None
+    stored_file_sites: DataFrame | None = None
     site_buckets: int = SITE_BUCKETS
 
     def tables(self):
@@ -42,7 +49,7 @@ class CodeGraph:
         }
 
     def with_tables(self, **changes):
-        return replace(self, stored_sites=None, stored_definitions=None, **changes)
+        return replace(self, stored_sites=None, stored_definitions=None, stored_file_sites=None, **changes)
 
     def sites(self) -> DataFrame:
         """Every mention with its file, line range and moniker (JOIN of the four tables)."""

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..constants import MAX_RESULTS
 from ..functions import monikers, ranges, roles
-from ..graph import SYMBOL_KEY, CodeGraph
+from ..graph import SYMBOL_KEY, CodeGraph, file_bucket
 from ..plans.rangejoin import add_line_buckets, line_bucket
 from ..plans.ranking import top_per_key
 from ..plans.sizing import hinted, profile
@@ -15,6 +15,16 @@ def _with_name(df):
     return df.withColumn("display_name", monikers.display_name(F.col("symbol")))
 
 
+def _asked_files(graph, asked):
+    """Inputs with the edge partition of their file. No document has an empty path; saying so
+    tells the planner that the partitions asked for are worth selecting."""
+    return asked.filter(F.length("file") > 0).withColumn("file_bucket", file_bucket(F.col("file"), graph.site_buckets))
+
+
+def _file_edges(graph):
+    return graph.stored_file_sites.withColumnRenamed("relative_path", "file")
+
+
 def list_symbols(graph: CodeGraph, scopes: DataFrame, limit=MAX_RESULTS, boundary=False) -> DataFrame:
     """Definition ranges in documents under a path prefix. Empty scopes give nothing."""
     if graph.stored_definitions is not None:
@@ -36,12 +46,10 @@ def list_symbols(graph: CodeGraph, scopes: DataFrame, limit=MAX_RESULTS, boundar
 
 def get_imports(graph: CodeGraph, files: DataFrame, limit=MAX_RESULTS, role_policy="strict") -> DataFrame:
     """Distinct symbols a file mentions without defining them, ordered by moniker."""
-    small = hinted(files, profile(files).small)
+    small = hinted(_asked_files(graph, files), profile(files).small)
     keep = lambda role: roles.is_reference_role(role, role_policy)
-    if graph.stored_sites is not None:
-        hits = graph.stored_sites.filter(keep(F.col("role"))).join(
-            small, F.col("relative_path") == F.col("file"),
-        ).select("query_id", "file", *SYMBOL_KEY, "symbol")
+    if graph.stored_file_sites is not None:
+        hits = _file_edges(graph).filter(keep(F.col("role"))).join(small, ["file_bucket", "file"])
         distinct = hits.select("query_id", "file", "symbol").distinct()
     else:
         documents = graph.documents.join(small, F.col("relative_path") == F.col("file"))
@@ -63,12 +71,12 @@ def symbols_at(graph: CodeGraph, positions: DataFrame, limit=MAX_RESULTS) -> Dat
     File and line bucket are the join key, so a file with most of the chunks, or most of
     the positions, is spread over its buckets and no other pairs are formed.
     """
-    asked = positions.withColumn("_bucket", line_bucket(F.col("line")))
+    asked = _asked_files(graph, positions).withColumn("_bucket", line_bucket(F.col("line")))
     asked = hinted(asked, profile(positions).small)
     within = ranges.line_in_chunk(F.col("line"), F.col("start_line"), F.col("end_line"))
-    if graph.stored_sites is not None:
-        spans = add_line_buckets(graph.stored_sites, F.col("start_line"), F.col("end_line"))
-        hits = spans.withColumnRenamed("relative_path", "file").join(asked, ["file", "_bucket"]).filter(within)
+    if graph.stored_file_sites is not None:
+        spans = add_line_buckets(_file_edges(graph), F.col("start_line"), F.col("end_line"))
+        hits = spans.join(asked, ["file_bucket", "file", "_bucket"]).filter(within)
         distinct = hits.select("query_id", "file", "line", "symbol").distinct()
     else:
         chunks = graph.chunks.select("source", "doc_id", "chunk_id", "start_line", "end_line")

@@ -32,6 +32,11 @@ SITES = _struct(
     ("source", _S), ("symbol_source", _S), ("symbol_id", _L), ("symbol", _S), ("role", _I),
     ("relative_path", _S), ("start_line", _I), ("end_line", _I), ("symbol_bucket", _I),
 )
+# The same edges for questions that start from a file.
+FILE_SITES = _struct(
+    ("source", _S), ("symbol", _S), ("role", _I), ("relative_path", _S), ("start_line", _I), ("end_line", _I),
+    ("file_bucket", _I),
+)
 # Read-optimised definition ranges: joined to their document and symbol.
 DEFINITION_SITES = _struct(
     ("source", _S), ("symbol_source", _S), ("symbol_id", _L), ("symbol", _S), ("relative_path", _S),

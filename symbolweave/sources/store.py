@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schema
-from ..graph import SITE_BUCKETS, SYMBOL_KEY, CodeGraph, symbol_bucket
+from ..graph import SITE_BUCKETS, SYMBOL_KEY, CodeGraph, file_bucket, symbol_bucket
 from ..operators.merge import merge_graphs
 
 _LAYOUT = {
@@ -28,8 +28,15 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="symbolweave-")
 
 
+def _write_bucketed(table, folder, column, bucket, order):
+    (
+        table.withColumn(column, bucket).hint("rebalance", column).sortWithinPartitions(column, *order)
+        .write.mode("overwrite").partitionBy(column).parquet(folder)
+    )
+
+
 def write_graph(graph: CodeGraph, folder: str, sites: bool = True, site_buckets: int = SITE_BUCKETS) -> None:
-    """Write the tables, partitioned by source, and the edge tables, partitioned by symbol.
+    """Write the tables, partitioned by source, and the edge tables, partitioned by symbol or file.
 
     The rebalance hint gathers the rows of a partition into files of the advisory size: a
     source or symbol with most of the rows is split over many tasks and files, small ones
@@ -49,12 +56,14 @@ def write_graph(graph: CodeGraph, folder: str, sites: bool = True, site_buckets:
     spark = graph.documents.sparkSession
     if sites:
         stored = load_graph(spark, folder, merged=graph.merged, sites=False)
-        for name, table in (("sites", stored.sites()), ("definition_sites", stored.definition_sites())):
-            (
-                table.withColumn("symbol_bucket", symbol_bucket(site_buckets))
-                .hint("rebalance", "symbol_bucket").sortWithinPartitions("symbol_bucket", *SYMBOL_KEY)
-                .write.mode("overwrite").partitionBy("symbol_bucket").parquet(f"{folder}/{name}")
-            )
+        edges = stored.sites()
+        by_symbol, by_file = symbol_bucket(site_buckets), file_bucket(F.col("relative_path"), site_buckets)
+        _write_bucketed(edges, f"{folder}/sites", "symbol_bucket", by_symbol, SYMBOL_KEY)
+        _write_bucketed(stored.definition_sites(), f"{folder}/definition_sites", "symbol_bucket", by_symbol, SYMBOL_KEY)
+        columns = [name for name in schema.FILE_SITES.fieldNames() if name != "file_bucket"]
+        _write_bucketed(
+            edges.select(*columns), f"{folder}/file_sites", "file_bucket", by_file, ["relative_path", "start_line"],
+        )
     facts = spark.range(1).select(
         F.lit(graph.merged).alias("merged"), F.lit(sites).alias("sites"), F.lit(site_buckets).alias("site_buckets"),
     )
@@ -80,6 +89,7 @@ def load_graph(spark: SparkSession, folder: str, merged: bool | None = None, sit
     return CodeGraph(
         **tables, merged=merged, site_buckets=buckets,
         stored_sites=_read(spark, folder, "sites", schema.SITES) if sites else None,
+        stored_file_sites=_read(spark, folder, "file_sites", schema.FILE_SITES) if sites else None,
         stored_definitions=_read(spark, folder, "definition_sites", schema.DEFINITION_SITES) if sites else None,
     )
 

@@ -124,6 +124,10 @@ def test_lookup_scans_are_pruned(spark):
     from symbolweave.catalog.inputs import NAMES as ASKED, merged_graph, rows as queries
     plan = plan_of(lookup.find_references(merged_graph(spark, FOLDER), queries(spark, "name", ASKED)))
     assert "dynamicpruning" in plan
+    by_file = spark.createDataFrame([("q", "repo-0/x.go", 3)], schema.POSITIONS)
+    graph = merged_graph(spark, FOLDER)
+    assert "dynamicpruning" in plan_of(files.symbols_at(graph, by_file))
+    assert "dynamicpruning" in plan_of(files.get_imports(graph, by_file.drop("line")))
     assert "documentation" not in plan and "relationships" not in plan
 
 
