@@ -5,8 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from symbolweave.llm import bpe, itq, mixing, norm_topk, warc
-from symbolweave.llm.common import ship, stored
+from symbolweave.llm import bpe, itq, langid, mixing, norm_topk, toxicity, warc
+from symbolweave.llm.common import fold_of, ship, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,6 +105,15 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return itq.near_duplicates(_table(spark, folder, "embeddings"))
 
 
+@_query("op3_nb_toxicity")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every whole text, learnt from the labels outside the held-out third."""
+    documents, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    fold = fold_of(F.col("doc_id"), 3)
+    model = toxicity.fit(toxicity.labelled_sample(documents, labels, fold != 1, "toxic"))
+    return toxicity.score_documents(documents, model, fold == 1)
+
+
 TOP_SQL = """
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda c: floor(1024 * c::DOUBLE)) AS x FROM embeddings
@@ -156,3 +165,12 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     number = lambda c: F.col(c).cast("long")
     return warc.read_records(normal, payloads=False).select(
         number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+
+
+@_query("op9_cross_parse_language")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every whole text, learnt from the documents outside the held-out quarter."""
+    documents = _table(spark, folder, "documents")
+    fold = fold_of(F.col("doc_id"), 4)
+    parser = langid.fit(documents.where(fold != 2))
+    return langid.identify(documents, parser, fold == 2)
