@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from symbolweave.llm import bpe, itq, langid, mixing, norm_topk, toxicity, warc
+from symbolweave.llm import bpe, itq, jaccard_join, langid, mixing, norm_topk, toxicity, warc
 from symbolweave.llm.common import fold_of, ship, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,34 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     fold = fold_of(F.col("doc_id"), 4)
     parser = langid.fit(documents.where(fold != 2))
     return langid.identify(documents, parser, fold == 2)
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN COALESCE(len(words), 0) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] || ' ' || words[i + 3])) END AS shingles
+    FROM w
+), e AS (
+    SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s
+), met AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS k FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    WHERE 100 * LEAST(a.n, b.n) >= 85 * GREATEST(a.n, b.n) GROUP BY ALL
+), pairs AS (
+    SELECT a, b FROM met WHERE 100 * k >= 85 * (na + nb - k)
+), reach(node, other) AS (
+    SELECT a, b FROM pairs UNION SELECT r.node, p.b FROM reach r JOIN pairs p ON r.other = p.a
+), least AS (
+    SELECT node, LEAST(node, min(other)) AS component FROM reach GROUP BY node
+)
+SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, COALESCE(least.component, s.doc_id) AS component_id
+FROM s LEFT JOIN least ON s.doc_id = least.node
+"""
+
+
+@_query("op8_voronoi_jaccard", JACCARD_SQL)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of all documents whose sets of four-word shingles are linked at 85%."""
+    return jaccard_join.jaccard_groups(_table(spark, folder, "documents"))
