@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from symbolweave.llm import bpe, itq, jaccard_join, langid, mixing, norm_topk, toxicity, warc
+from symbolweave.llm import bpe, fuzzy_lines, itq, jaccard_join, langid, mixing, norm_topk, toxicity, warc
 from symbolweave.llm.common import fold_of, ship, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,3 +205,10 @@ FROM s LEFT JOIN least ON s.doc_id = least.node
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of all documents whose sets of four-word shingles are linked at 85%."""
     return jaccard_join.jaccard_groups(_table(spark, folder, "documents"))
+
+
+@_query("op10_minhash_lines")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with one line of each group of near-equal lines: counts and a digest of the text that stays."""
+    kept = fuzzy_lines.dedup_lines(_table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
