@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from symbolweave.llm import bpe, fuzzy_lines, itq, jaccard_join, langid, mixing, norm_topk, toxicity, warc
+from symbolweave.llm import bpe, fuzzy_lines, itq, jaccard_join, langid, mixing, norm_topk, suffix_dedup, toxicity, warc
 from symbolweave.llm.common import fold_of, ship, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,6 +135,13 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return norm_topk.top_k(vectors, vectors.where("vec_id % 100 = 0").select("vec_id"))
 
 
+@_query("op5_suffix_dedup")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Every whole text without the bytes of 200-byte strings that start anywhere else too."""
+    kept = suffix_dedup.dedup_bytes(_table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @_query("op6_bpe_round_trip")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts and digests of every whole text, encoded and decoded again."""
