@@ -117,7 +117,7 @@ def _window_minima(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, length: int, gram: int):
-    """``(gram hash, context hash, first window, windows)`` of the runs of windows that share a minimiser.
+    """``(gram hash, context hash, first window, windows, gram's place after it)`` of the runs of windows that share a minimiser.
 
     Every window of ``length`` bytes has as its anchor the gram with the smallest hash in it, the first of equal ones:
     equal windows have equal anchors at the same offset, so only windows with equal anchors can be equal.
@@ -136,7 +136,7 @@ def anchors(data: np.ndarray, length: int, gram: int):
         first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
         last = np.append(first[1:], len(least))
         context = finish(span_hash(prefix, first, last - 1 + length) + (least[first] - first).astype(np.uint64))
-        out.append((own[least[first]].view(np.int64), context.view(np.int64), first + piece, last - first))
+        out.append((own[least[first]].view(np.int64), context.view(np.int64), first + piece, last - first, least[first] - first))
     return [np.concatenate(x) for x in zip(*out)] if out else None
 
 
@@ -155,28 +155,28 @@ def _located(rows: DataFrame, length: int, gram: int) -> DataFrame:
                 if found is not None:
                     names = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(found[0]), np.int8)), pa.array([name.as_py()])).dictionary_decode()
                     yield pa.RecordBatch.from_arrays(
-                        [names, pa.array(found[0]), pa.array(found[1]), pa.array(found[2].astype(np.int32)), pa.array(found[3].astype(np.int32))],
-                        names=["row", "gram", "context", "at", "windows"])
+                        [names, pa.array(found[0]), pa.array(found[1]), pa.array(found[2].astype(np.int32)), pa.array(found[3].astype(np.int32)), pa.array(found[4].astype(np.int32))],
+                        names=["row", "gram", "context", "at", "windows", "skip"])
 
-    return rows.where(F.length("data") >= length).select("row", "data").mapInArrow(run, "row binary, gram bigint, context bigint, at int, windows int")
+    return rows.where(F.length("data") >= length).select("row", "data").mapInArrow(run, "row binary, gram bigint, context bigint, at int, windows int, skip int")
 
 
 def _contexts(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """``gram, context, n, data`` of one occurrence of each context, cut from its text."""
-    asked = wanted.groupBy("row").agg(F.collect_list(F.struct("gram", "context", "n", "at", "windows")).alias("asked"))
+    """``gram, context, n, skip, data`` of one occurrence of each context, cut from its text."""
+    asked = wanted.groupBy("row").agg(F.collect_list(F.struct("gram", "context", "n", "at", "windows", "skip")).alias("asked"))
 
     def run(batches):
         for batch in batches:
-            out: dict[str, list] = {"gram": [], "context": [], "n": [], "data": []}
+            out: dict[str, list] = {"gram": [], "context": [], "n": [], "skip": [], "data": []}
             for data, asked in zip(batch.column(0), batch.column(1)):
                 view = memoryview(data.as_buffer())
                 for a in asked.as_py():
                     out["data"].append(bytes(view[a["at"] : a["at"] + a["windows"] - 1 + length]))
-                    for name in ("gram", "context", "n"):
+                    for name in ("gram", "context", "n", "skip"):
                         out[name].append(a[name])
             yield pa.RecordBatch.from_arrays([pa.array(out[k], pa.binary() if k == "data" else pa.int64()) for k in out], names=list(out))
 
-    return rows.dropDuplicates(["row"]).join(asked, "row").select("data", "asked").mapInArrow(run, "gram bigint, context bigint, n bigint, data binary")
+    return rows.dropDuplicates(["row"]).join(asked, "row").select("data", "asked").mapInArrow(run, "gram bigint, context bigint, n bigint, skip bigint, data binary")
 
 
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,32 +184,67 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[0::2], edges[1::2] - edges[0::2]
 
 
-def _decided(contexts: DataFrame, length: int) -> DataFrame:
+def _alike(contexts: list[tuple], length: int, gram: int) -> list[bool]:
+    """Which contexts of one gram can share a window with another.
+
+    A window holds the gram and ``length - gram`` bytes around it, so at least half of those on one side: two contexts
+    that share a window agree in that many bytes before the gram or after it.
+    """
+    half = -(-(length - gram) // 2)
+    keys = []
+    for _, _, skip, data in contexts:
+        after = data[skip + gram : skip + gram + half]
+        keys.append((data[skip - half : skip] if skip >= half else None, after if len(after) == half else None))
+    counts: dict[tuple, int] = {}
+    for pair in keys:
+        for side, key in enumerate(pair):
+            if key is not None:
+                counts[side, key] = counts.get((side, key), 0) + 1
+    return [any(key is not None and counts[side, key] > 1 for side, key in enumerate(pair)) for pair in keys]
+
+
+def _decided(contexts: DataFrame, length: int, gram_length: int) -> DataFrame:
     """``context, skip, windows``: the runs of windows of each context that occur elsewhere.
 
     Contexts come sorted by gram, so a gram's are decided in one suffix array, several grams in one of about
-    ``ARRAY_BYTES``.
+    ``ARRAY_BYTES``. Contexts that no other one of their gram can match stay out of it.
     """
-    def decide(held):
+    def decide(held, alone):
         out: dict[str, list] = {"context": [], "skip": [], "windows": []}
-        for (context, n, data), flags in zip(held, repeated_starts([h[2] for h in held], length)):
+        for (context, n, _, data), flags in zip(held, repeated_starts([h[3] for h in held], length) if held else []):
             skip, windows = _runs(flags | (n > 1))
             out["context"] += [context] * len(skip)
             out["skip"] += skip.tolist()
             out["windows"] += windows.tolist()
+        for context, n, _, data in alone:
+            if n > 1:
+                out["context"].append(context)
+                out["skip"].append(0)
+                out["windows"].append(len(data) - length + 1)
         return pa.RecordBatch.from_arrays([pa.array(out["context"], pa.int64()), pa.array(out["skip"], pa.int32()), pa.array(out["windows"], pa.int32())], names=list(out))
 
     def run(batches):
-        held, size, last = [], 0, None
+        held: list = []
+        alone: list = []
+        own: list = []
+        last = None
+
+        def close():
+            for context, good in zip(own, _alike(own, length, gram_length)):
+                (held if good else alone).append(context)
+            own.clear()
+
         for batch in batches:
-            for gram, context, n, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if size >= ARRAY_BYTES and gram != last:
-                    yield decide(held)
-                    held, size = [], 0
-                held.append((context, n, data))
-                size, last = size + len(data), gram
-        if held:
-            yield decide(held)
+            for gram, *context in zip(*(c.to_pylist() for c in batch.columns)):
+                if gram != last:
+                    close()
+                    if sum(len(h[3]) for h in held) >= ARRAY_BYTES or len(alone) >= HOT_CONTEXTS:
+                        yield decide(held, alone)
+                        held, alone = [], []
+                own.append(tuple(context))
+                last = gram
+        close()
+        yield decide(held, alone)
 
     dealt = contexts.repartition("gram").sortWithinPartitions("gram", "context")
     return dealt.mapInArrow(run, "context bigint, skip int, windows int")
@@ -219,7 +254,7 @@ def _counted(contexts: DataFrame, length: int) -> DataFrame:
     """The same for grams with very many contexts: windows are counted by hash, over all tasks."""
     def hashes(batches):
         for batch in batches:
-            for context, n, data in zip(*(batch.column(k) for k in (1, 2, 3))):
+            for context, n, data in zip(*(batch.column(k) for k in (1, 2, 4))):
                 part = np.frombuffer(data.as_buffer(), dtype=np.uint8)
                 at = np.arange(len(part) - length + 1)
                 own = span_hash(prefix_hash(part), at, at + length).view(np.int64)
@@ -245,15 +280,15 @@ def dedup_bytes(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
     rows = _named(documents)
     located = stored(_located(rows, length, gram), "suffix-anchors")
     grams = located.groupBy("gram").agg(F.count("*").alias("k"), F.min("context").alias("low"), F.max("context").alias("high")).where("k > 1")
-    repeated = stored(located.join(grams, "gram").select("row", "gram", "context", "at", "windows", (F.col("low") == F.col("high")).alias("whole")), "suffix-repeats")
+    repeated = stored(located.join(grams, "gram").select("row", "gram", "context", "at", "windows", "skip", (F.col("low") == F.col("high")).alias("whole")), "suffix-repeats")
     mixed = repeated.where("NOT whole")
-    wanted = mixed.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("row", "at", "windows")).alias("one"))
-    wanted = stored(wanted.select("gram", "context", "n", "one.row", "one.at", "one.windows"), "suffix-contexts")
+    wanted = mixed.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("row", "at", "windows", "skip")).alias("one"))
+    wanted = stored(wanted.select("gram", "context", "n", "one.row", "one.at", "one.windows", "one.skip"), "suffix-contexts")
     contexts = stored(_contexts(rows, wanted, length), "suffix-bytes")
     many = contexts.groupBy("gram").agg(F.count("*").alias("k")).where(F.col("k") > hot).select("gram")
-    found = _decided(contexts.join(many, "gram", "left_anti"), length).union(_counted(contexts.join(many, "gram", "left_semi").select("gram", "context", "n", "data"), length))
+    found = _decided(contexts.join(many, "gram", "left_anti"), length, gram).union(_counted(contexts.join(many, "gram", "left_semi").select("gram", "context", "n", "skip", "data"), length))
     found = stored(found.withColumnRenamed("windows", "run"), "suffix-found")
-    ends = mixed.join(found, "context").select("row", (F.col("at") + F.col("skip")).alias("at"), F.col("run").alias("windows"))
+    ends = mixed.drop("skip").join(found, "context").select("row", (F.col("at") + F.col("skip")).alias("at"), F.col("run").alias("windows"))
     spans = repeated.where("whole").select("row", "at", "windows").union(ends)
     spans = spans.groupBy("row").agg(F.collect_set(F.struct("at", "windows")).alias("spans"))
 

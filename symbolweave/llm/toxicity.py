@@ -135,3 +135,16 @@ def score_documents(documents: DataFrame, model: Model, held_out: Column | None
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", held.alias("held_out"), "text").mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
+
+
+def without_toxic(documents: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
+    """``documents`` whose whole text scores below ``threshold``; all columns stay, no row is shuffled."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    at = documents.columns.index("text")
+
+    def run(batches):
+        work = shared.value
+        for batch in batches:
+            yield batch.filter(pa.array([work.score(t.as_py() or "") < threshold for t in batch.column(at)], pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
