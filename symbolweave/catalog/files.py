@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..constants import MAX_RESULTS
 from ..operators import files, reports
 from . import sql
 from .inputs import SCOPES, merged_graph, rows
@@ -20,12 +21,17 @@ _BOUNDARY = _LISTED.format("x.file ILIKE rtrim(q.scope, '/') OR x.file ILIKE rtr
 
 @register("list_symbols", f"{_PREFIX} SELECT * FROM listed")
 def _(spark, folder):
-    return files.list_symbols(merged_graph(spark, folder), rows(spark, "scope", SCOPES))
+    return files.list_symbols(merged_graph(spark, folder), rows(spark, "scope", SCOPES), limit=MAX_RESULTS)
 
 
 @register("list_symbols_boundary", f"{_BOUNDARY} SELECT * FROM listed")
 def _(spark, folder):
-    return files.list_symbols(merged_graph(spark, folder), rows(spark, "scope", SCOPES), boundary=True)
+    return files.list_symbols(merged_graph(spark, folder), rows(spark, "scope", SCOPES), boundary=True, limit=MAX_RESULTS)
+
+
+@register("list_symbols_all", f"{_PREFIX.replace('WHERE rn <= 50', '')} SELECT * FROM listed")
+def _(spark, folder):
+    return files.list_symbols(merged_graph(spark, folder), rows(spark, "scope", SCOPES))
 
 
 def all_folders(graph):
@@ -48,7 +54,7 @@ def _(spark, folder):
 SELECT query_id, file, string_agg(display_name || ' (line ' || CAST(start_line AS VARCHAR) || ')', ', '
   ORDER BY start_line, display_name) AS symbols FROM listed GROUP BY query_id, file""")
 def _(spark, folder):
-    listed = files.list_symbols(merged_graph(spark, folder), rows(spark, "scope", SCOPES))
+    listed = files.list_symbols(merged_graph(spark, folder), rows(spark, "scope", SCOPES), limit=MAX_RESULTS)
     return reports.symbols_by_file(listed).withColumn("symbols", F.array_join("symbols", ", "))
 
 
@@ -63,7 +69,7 @@ def all_files(graph):
 @register("get_imports", f"{_IMPORTS} SELECT query_id, file, symbol, display_name FROM found")
 def _(spark, folder):
     graph = merged_graph(spark, folder)
-    return files.get_imports(graph, all_files(graph))
+    return files.get_imports(graph, all_files(graph), limit=MAX_RESULTS)
 
 
 @register("import_names", f"""{_IMPORTS}
@@ -71,7 +77,7 @@ SELECT query_id, string_agg(display_name, ', ' ORDER BY display_name) AS names
 FROM (SELECT DISTINCT query_id, display_name FROM found) GROUP BY query_id""")
 def _(spark, folder):
     graph = merged_graph(spark, folder)
-    names = reports.distinct_names(files.get_imports(graph, all_files(graph)))
+    names = reports.distinct_names(files.get_imports(graph, all_files(graph), limit=MAX_RESULTS))
     return names.withColumn("names", F.array_join("names", ", "))
 
 
@@ -89,7 +95,7 @@ SELECT DISTINCT q.file AS query_id, q.file, q.line, s.symbol, {sql.display('s.sy
 FROM asked q JOIN sites s ON s.file = q.file AND q.line BETWEEN s.start_line AND s.end_line""")
 def _(spark, folder):
     graph = merged_graph(spark, folder)
-    return files.symbols_at(graph, all_positions(graph))
+    return files.symbols_at(graph, all_positions(graph), limit=MAX_RESULTS)
 
 
 @register("edge_sites", f"{sql.MERGED} SELECT source, symbol, role, file, start_line, end_line FROM sites")

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..constants import EVENT_FLOW_LIMIT, GREP_MAX_BODY_LINES, GREP_MAX_CONTEXT, GREP_REFERENCE_LIMIT, MAX_RESULTS
 from ..functions.events import Recognizers, recognizers_from_json
 from ..operators import eventflow, grep, lookup, reports
 from . import sql
@@ -11,6 +12,7 @@ from .registry import register
 _ASKED = sql.values("name", NAMES)
 _BASE = f"{sql.MERGED}, {_ASKED}, {sql.matched()}"
 _BATCH = f"{sql.MERGED}, {sql.BATCH_NAMES}, {sql.matched()}"
+_BATCH_ALL = f"{sql.MERGED}, {sql.BATCH_NAMES}, {sql.matched(cap=None)}"
 _ORDER = ("CASE WHEN m.is_exact THEN 0 ELSE 1 END, m.length_rank, x.file, x.start_line, x.start_char NULLS FIRST, x.end_line, "
           "x.end_char NULLS FIRST, x.source, x.symbol_source, x.symbol_id")
 _COLUMNS = "query_id, name, symbol, display_name, source, file, start_line, end_line, start_char, end_char"
@@ -25,17 +27,17 @@ FROM (SELECT DISTINCT query_id, name, symbol, display_name, is_exact, length_ran
 
 @register("resolve_symbols", _resolve_sql(_BASE))
 def _(spark, folder):
-    return lookup.resolve_symbols(merged_graph(spark, folder), rows(spark, "name", NAMES))
+    return lookup.resolve_symbols(merged_graph(spark, folder), rows(spark, "name", NAMES), cap=MAX_RESULTS)
 
 
 @register("resolve_symbols_batch", _resolve_sql(_BATCH))
 def _(spark, folder):
-    return lookup.resolve_symbols(merged_graph(spark, folder), batch_names(spark, folder))
+    return lookup.resolve_symbols(merged_graph(spark, folder), batch_names(spark, folder), cap=MAX_RESULTS)
 
 
 @register("resolve_symbols_exact_first", _resolve_sql(f"{sql.MERGED}, {_ASKED}, {sql.matched(exact_first=True)}"))
 def _(spark, folder):
-    return lookup.resolve_symbols(merged_graph(spark, folder), rows(spark, "name", NAMES), exact_first=True)
+    return lookup.resolve_symbols(merged_graph(spark, folder), rows(spark, "name", NAMES), exact_first=True, cap=MAX_RESULTS)
 
 
 @register("resolve_symbols_literal", f"""{sql.MERGED}, {_ASKED}
@@ -46,10 +48,15 @@ def _(spark, folder):
     return lookup.resolve_symbols(merged_graph(spark, folder), rows(spark, "name", NAMES), match="literal", cap=None)
 
 
+@register("resolve_symbols_all", f"""{_BATCH_ALL} SELECT DISTINCT query_id, name, symbol, display_name, is_exact FROM matched""")
+def _(spark, folder):
+    return lookup.resolve_symbols(merged_graph(spark, folder), batch_names(spark, folder))
+
+
 @register("unmatched_queries", f"{_BASE} SELECT query_id, name FROM asked WHERE query_id NOT IN (SELECT query_id FROM matched)")
 def _(spark, folder):
     asked = rows(spark, "name", NAMES)
-    return lookup.unmatched(asked, lookup.resolve_symbols(merged_graph(spark, folder), asked))
+    return lookup.unmatched(asked, lookup.resolve_symbols(merged_graph(spark, folder), asked, cap=MAX_RESULTS))
 
 
 _DEFINITIONS = f"""precise AS (
@@ -69,17 +76,17 @@ numbered AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY {_ORDER
 
 @register("find_definitions", f"{_BASE}, {_DEFINITIONS} SELECT {_COLUMNS} FROM numbered WHERE rn <= 50")
 def _(spark, folder):
-    return lookup.find_definitions(merged_graph(spark, folder), rows(spark, "name", NAMES))
+    return lookup.find_definitions(merged_graph(spark, folder), rows(spark, "name", NAMES), limit=MAX_RESULTS, cap=MAX_RESULTS)
 
 
 @register("find_definitions_batch", f"{_BATCH}, {_DEFINITIONS} SELECT {_COLUMNS} FROM numbered WHERE rn <= 50")
 def _(spark, folder):
-    return lookup.find_definitions(merged_graph(spark, folder), batch_names(spark, folder))
+    return lookup.find_definitions(merged_graph(spark, folder), batch_names(spark, folder), limit=MAX_RESULTS, cap=MAX_RESULTS)
 
 
-@register("find_definitions_uncapped", f"{_BATCH}, {_DEFINITIONS} SELECT {_COLUMNS} FROM numbered")
+@register("find_definitions_uncapped", f"{_BATCH_ALL}, {_DEFINITIONS} SELECT {_COLUMNS} FROM numbered")
 def _(spark, folder):
-    return lookup.find_definitions(merged_graph(spark, folder), batch_names(spark, folder), limit=None)
+    return lookup.find_definitions(merged_graph(spark, folder), batch_names(spark, folder), limit=None, cap=None)
 
 
 def _references_sql(base, role, limit):
@@ -98,29 +105,29 @@ _FOUND = "query_id, name, symbol, display_name, source, file, start_line, end_li
 
 @register("find_references", f"{_references_sql(_BASE, _REFERENCE, 50)} SELECT {_FOUND} FROM found")
 def references(spark, folder):
-    return lookup.find_references(merged_graph(spark, folder), rows(spark, "name", NAMES)).select(*_FOUND.split(", "))
+    return lookup.find_references(merged_graph(spark, folder), rows(spark, "name", NAMES), limit=MAX_RESULTS, cap=MAX_RESULTS).select(*_FOUND.split(", "))
 
 
 @register("find_references_batch", f"{_references_sql(_BATCH, _REFERENCE, 50)} SELECT {_FOUND} FROM found")
 def _(spark, folder):
-    return lookup.find_references(merged_graph(spark, folder), batch_names(spark, folder)).select(*_FOUND.split(", "))
+    return lookup.find_references(merged_graph(spark, folder), batch_names(spark, folder), limit=MAX_RESULTS, cap=MAX_RESULTS).select(*_FOUND.split(", "))
 
 
-@register("find_references_uncapped", f"{_references_sql(_BATCH, _REFERENCE, None)} SELECT {_FOUND} FROM found")
+@register("find_references_uncapped", f"{_references_sql(_BATCH_ALL, _REFERENCE, None)} SELECT {_FOUND} FROM found")
 def _(spark, folder):
-    found = lookup.find_references(merged_graph(spark, folder), batch_names(spark, folder), limit=None)
+    found = lookup.find_references(merged_graph(spark, folder), batch_names(spark, folder), limit=None, cap=None)
     return found.select(*_FOUND.split(", "))
 
 
 @register("find_references_with_defs", f"{_references_sql(_BASE, 'x.role <> 0', 50)} SELECT {_FOUND} FROM found")
 def _(spark, folder):
-    found = lookup.find_references(merged_graph(spark, folder), rows(spark, "name", NAMES), include_definition=True)
+    found = lookup.find_references(merged_graph(spark, folder), rows(spark, "name", NAMES), include_definition=True, limit=MAX_RESULTS, cap=MAX_RESULTS)
     return found.select(*_FOUND.split(", "))
 
 
 @register("find_references_any_role", f"{_references_sql(_BASE, '(x.role & 1) = 0', 50)} SELECT {_FOUND} FROM found")
 def _(spark, folder):
-    found = lookup.find_references(merged_graph(spark, folder), rows(spark, "name", NAMES), role_policy="scip")
+    found = lookup.find_references(merged_graph(spark, folder), rows(spark, "name", NAMES), role_policy="scip", limit=MAX_RESULTS, cap=MAX_RESULTS)
     return found.select(*_FOUND.split(", "))
 
 
@@ -129,14 +136,14 @@ SELECT query_id, display_name, count(*) AS n_occurrences, string_agg(file || ':'
   || CAST(end_line AS VARCHAR), ', ' ORDER BY length_rank, file, start_line, end_line) AS locations
 FROM found GROUP BY query_id, display_name""")
 def _(spark, folder):
-    found = lookup.find_references(merged_graph(spark, folder), rows(spark, "name", NAMES))
+    found = lookup.find_references(merged_graph(spark, folder), rows(spark, "name", NAMES), limit=MAX_RESULTS, cap=MAX_RESULTS)
     return reports.references_by_name(found).withColumn("locations", F.array_join("locations", ", "))
 
 
 @register("capped_queries", f"""{_references_sql(_BASE, _REFERENCE, 50)}
 SELECT query_id, count(*) AS n_results, count(*) >= 50 AS capped FROM found GROUP BY query_id""")
 def _(spark, folder):
-    found = lookup.find_references(merged_graph(spark, folder), rows(spark, "name", NAMES))
+    found = lookup.find_references(merged_graph(spark, folder), rows(spark, "name", NAMES), limit=MAX_RESULTS, cap=MAX_RESULTS)
     return lookup.with_cap_flag(found).groupBy("query_id", "capped").agg(F.count(F.lit(1)).alias("n_results"))
 
 
@@ -144,7 +151,7 @@ def _(spark, folder):
 SELECT query_id, count(DISTINCT file || ':' || CAST(start_line AS VARCHAR)) AS n_sites FROM found GROUP BY query_id""")
 def _(spark, folder):
     return grep.reference_site_counts(
-        lookup.find_references(merged_graph(spark, folder), rows(spark, "name", NAMES), limit=15),
+        lookup.find_references(merged_graph(spark, folder), rows(spark, "name", NAMES), limit=15, cap=MAX_RESULTS),
     )
 
 
@@ -168,13 +175,18 @@ SELECT {_COLUMNS} FROM numbered WHERE rn <= {limit}"""
 
 @register("find_implementations", _implementations_sql(_BASE, "r.target = m.symbol"))
 def _(spark, folder):
-    return lookup.find_implementations(merged_graph(spark, folder), rows(spark, "name", NAMES))
+    return lookup.find_implementations(merged_graph(spark, folder), rows(spark, "name", NAMES), limit=MAX_RESULTS, cap=MAX_RESULTS)
+
+
+@register("find_implementations_all", _implementations_sql(_BATCH_ALL, "r.target = m.symbol", 1 << 60))
+def _(spark, folder):
+    return lookup.find_implementations(merged_graph(spark, folder), batch_names(spark, folder))
 
 
 @register("find_implementations_by_key", _implementations_sql(
     _BATCH, f"{sql.KEY.format('r.target', repr(''))} = {sql.KEY.format('m.symbol', repr(''))}"))
 def _(spark, folder):
-    return lookup.find_implementations(merged_graph(spark, folder), batch_names(spark, folder), by_key=True)
+    return lookup.find_implementations(merged_graph(spark, folder), batch_names(spark, folder), by_key=True, limit=MAX_RESULTS, cap=MAX_RESULTS)
 
 
 @register("relationships", f"""{sql.MERGED}, {_MREL}
@@ -218,7 +230,7 @@ flow AS (
 
 
 def _flow(spark, folder):
-    return eventflow.event_flow_sites(merged_graph(spark, folder), rows(spark, "name", MESSAGES), _RULES)
+    return eventflow.event_flow_sites(merged_graph(spark, folder), rows(spark, "name", MESSAGES), _RULES, limit=EVENT_FLOW_LIMIT, per_site=MAX_RESULTS, cap=MAX_RESULTS)
 
 
 @register("event_flow_sites", f"""{_FLOW} SELECT query_id, name, symbol, display_name, file, start_line, end_line, flow_role, repo,
@@ -252,7 +264,7 @@ def _(spark, folder):
 def _(spark, folder):
     raw = F.lit('{"produce": ["RED", "blue"], "consume": ["small", "large"], "consume_paths": 3}')
     config = spark.range(1).select(recognizers_from_json(raw).alias("recognizers"))
-    sites = eventflow.event_flow_sites(merged_graph(spark, folder), rows(spark, "name", MESSAGES), config)
+    sites = eventflow.event_flow_sites(merged_graph(spark, folder), rows(spark, "name", MESSAGES), config, limit=EVENT_FLOW_LIMIT, per_site=MAX_RESULTS, cap=MAX_RESULTS)
     return sites.groupBy("flow_role").agg(F.count(F.lit(1)).alias("n_sites"))
 
 
@@ -296,16 +308,16 @@ _SHOWN = ["query_id", "symbol", "source", "file", "start_line", "truncated", "li
     CASE WHEN end_line - start_line + 1 > 120 THEN start_line + 119 ELSE end_line END AS last_line,
     end_line - start_line + 1 > 120 AS truncated FROM numbered WHERE rn <= 50)"""))
 def _(spark, folder):
-    found = lookup.find_definitions(text_graph(spark, folder), batch_names(spark, folder))
+    found = lookup.find_definitions(text_graph(spark, folder), batch_names(spark, folder), limit=MAX_RESULTS, cap=MAX_RESULTS)
     lines = text_lines(spark, folder)
-    return grep.window_lines(grep.definition_bodies(found), lines).select(*_SHOWN)
+    return grep.window_lines(grep.definition_bodies(found, GREP_MAX_BODY_LINES), lines).select(*_SHOWN)
 
 
 @register("grep_reference_windows", _window_sql(f"""{_references_sql(_TEXT_BASE, _REFERENCE, 15)}, windows AS (
   SELECT query_id, symbol, source, file, start_line, end_line, start_line - 3 AS first_line, end_line + 3 AS last_line,
     false AS truncated FROM found)"""))
 def _(spark, folder):
-    found = lookup.find_references(text_graph(spark, folder), batch_names(spark, folder), limit=15)
+    found = lookup.find_references(text_graph(spark, folder), batch_names(spark, folder), limit=15, cap=MAX_RESULTS)
     lines = text_lines(spark, folder)
     return grep.window_lines(grep.reference_windows(found), lines).select(*_SHOWN)
 
@@ -327,7 +339,8 @@ GROUP BY w.query_id, w.part"""
 @register("grep_symbols", _PARTS)
 def _(spark, folder):
     lines = text_lines(spark, folder)
-    shown = grep.grep_symbols(text_graph(spark, folder), batch_names(spark, folder), lines, context=9999)
+    shown = grep.grep_symbols(text_graph(spark, folder), batch_names(spark, folder), lines, context=GREP_MAX_CONTEXT,
+        definition_limit=MAX_RESULTS, reference_limit=GREP_REFERENCE_LIMIT, body_lines=GREP_MAX_BODY_LINES, cap=MAX_RESULTS)
     return shown.groupBy("query_id", "part").agg(
         F.count("line").alias("n_lines"), F.coalesce(F.sum(F.length("line")), F.lit(0)).alias("n_chars"),
     )

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..constants import MAX_RENDER_ROOTS
 from ..constants import LANGUAGES
 from ..sources import listing, snapshots, star_inputs
 from .inputs import table
@@ -70,6 +71,14 @@ _FOLDERS = """WITH f AS (SELECT 'repo-' || CAST(o_custkey % 50 AS VARCHAR) AS re
   UNION ALL SELECT repo, root, 'helm' FROM f WHERE k % 2 = 0 AND k % 5 > 0 AND k % 3 = 2)
 SELECT * FROM (SELECT repo, root, kind, CAST(row_number() OVER (PARTITION BY repo ORDER BY kind DESC, string_split(root, '/')) AS INTEGER)
   AS position FROM roots) WHERE position <= 40""")
+def _(spark, folder):
+    return listing.render_roots(star_inputs.deployment_listing(spark, folder), cap=MAX_RENDER_ROOTS)
+
+
+@register("render_roots_all", f"""{_FOLDERS}, roots AS (
+  SELECT repo, root, 'kustomize' AS kind FROM f WHERE k % 3 < 2 AND NOT remote
+  UNION ALL SELECT repo, root, 'helm' FROM f WHERE k % 2 = 0 AND k % 5 > 0 AND k % 3 = 2)
+SELECT repo, root, kind FROM roots""")
 def _(spark, folder):
     return listing.render_roots(star_inputs.deployment_listing(spark, folder))
 

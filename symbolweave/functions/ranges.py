@@ -70,8 +70,10 @@ def clamp_window(start: Column, end: Column, n_lines: Column) -> Column:
     )
 
 
-def body_span(start_line: Column, end_line: Column, max_lines: int = GREP_MAX_BODY_LINES) -> Column:
-    """Lines of a definition body to show, and whether the body goes on past them."""
+def body_span(start_line: Column, end_line: Column, max_lines: int | None = GREP_MAX_BODY_LINES) -> Column:
+    """Lines of a definition body to show, and whether the body goes on past them; ``None`` shows it whole."""
+    if max_lines is None:
+        return F.struct(start_line.alias("first_line"), end_line.alias("last_line"), F.lit(False).alias("truncated"))
     too_long = (end_line - start_line + 1) > max_lines
     return F.struct(
         start_line.alias("first_line"),

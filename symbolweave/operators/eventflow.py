@@ -10,15 +10,15 @@ from .files import symbols_at
 from .lookup import find_references
 
 
-def co_symbols(graph: CodeGraph, sites: DataFrame) -> DataFrame:
+def co_symbols(graph: CodeGraph, sites: DataFrame, per_site: int | None = None) -> DataFrame:
     """Display names next to each distinct site, ordered by moniker.
 
-    At most the fixed cap of symbols is kept per site, so the collected list is bounded.
+    All symbols of the chunks at a site count, unless ``per_site`` cuts them.
     """
     positions = sites.select("file", F.col("start_line").alias("line")).distinct().withColumn(
         "query_id", F.concat_ws("\0", "file", "line"),
     )
-    found = symbols_at(graph, positions)
+    found = symbols_at(graph, positions, limit=per_site)
     return found.groupBy("file", F.col("line").alias("start_line")).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("symbol", "display_name"))), lambda s: s["display_name"],
@@ -35,7 +35,7 @@ def _rules(recognizers):
 
 
 def event_flow_sites(
-    graph: CodeGraph, queries: DataFrame, recognizers=None, limit=EVENT_FLOW_LIMIT, **options,
+    graph: CodeGraph, queries: DataFrame, recognizers=None, limit=None, per_site=None, **options,
 ) -> DataFrame:
     """References and definitions of each message type with their role and repository.
 
@@ -43,7 +43,7 @@ def event_flow_sites(
     struct column.
     """
     references = find_references(graph, queries, limit=limit, include_definition=True, **options)
-    sites = references.join(co_symbols(graph, references), ["file", "start_line"], "left").withColumn(
+    sites = references.join(co_symbols(graph, references, per_site), ["file", "start_line"], "left").withColumn(
         "co_names", F.coalesce("co_names", F.array().cast("array<string>")),
     )
     rules = _rules(recognizers)

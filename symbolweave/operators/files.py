@@ -2,7 +2,6 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..constants import MAX_RESULTS
 from ..functions import monikers, ranges, roles
 from ..graph import SYMBOL_KEY, CodeGraph, file_bucket
 from ..plans.rangejoin import add_line_buckets, line_bucket
@@ -25,7 +24,7 @@ def _file_edges(graph):
     return graph.stored_file_sites.withColumnRenamed("relative_path", "file")
 
 
-def list_symbols(graph: CodeGraph, scopes: DataFrame, limit=MAX_RESULTS, boundary=False) -> DataFrame:
+def list_symbols(graph: CodeGraph, scopes: DataFrame, limit=None, boundary=False) -> DataFrame:
     """Definition ranges in documents under a path prefix. Empty scopes give nothing."""
     if graph.stored_definitions is not None:
         located = match_prefix(graph.stored_definitions, "relative_path", scopes, boundary=boundary)
@@ -44,7 +43,7 @@ def list_symbols(graph: CodeGraph, scopes: DataFrame, limit=MAX_RESULTS, boundar
     )
 
 
-def get_imports(graph: CodeGraph, files: DataFrame, limit=MAX_RESULTS, role_policy="strict") -> DataFrame:
+def get_imports(graph: CodeGraph, files: DataFrame, limit=None, role_policy="strict") -> DataFrame:
     """Distinct symbols a file mentions without defining them, ordered by moniker."""
     small = hinted(_asked_files(graph, files), profile(files).small)
     keep = lambda role: roles.is_reference_role(role, role_policy)
@@ -65,7 +64,7 @@ def get_imports(graph: CodeGraph, files: DataFrame, limit=MAX_RESULTS, role_poli
     return _with_name(top_per_key(distinct, ["query_id"], [F.col("symbol")], limit))
 
 
-def symbols_at(graph: CodeGraph, positions: DataFrame, limit=MAX_RESULTS) -> DataFrame:
+def symbols_at(graph: CodeGraph, positions: DataFrame, limit=None) -> DataFrame:
     """Distinct symbols, in any role, of the chunks that contain a line.
 
     File and line bucket are the join key, so a file with most of the chunks, or most of

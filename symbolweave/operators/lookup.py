@@ -28,16 +28,16 @@ def _match(graph, queries, match, cap, exact_first):
     return ranked.withColumns({"display_name": shown, "is_exact": exact}), asked.rows
 
 
-def matched_symbols(graph: CodeGraph, queries: DataFrame, match="like", cap=MAX_RESULTS, exact_first=False):
-    """Symbol rows per query. The cap counts distinct monikers, shortest first.
+def matched_symbols(graph: CodeGraph, queries: DataFrame, match="like", cap=None, exact_first=False):
+    """Symbol rows per query, all of them unless a cap of distinct monikers, shortest first, is given.
 
-    As a rule the cap is applied before exact names are moved to the front, so an exact
+    The cap is applied before exact names are moved to the front, so an exact
     name can fall outside it; ``exact_first`` ranks exact names before the cap.
     """
     return _match(graph, queries, match, cap, exact_first)[0]
 
 
-def resolve_symbols(graph: CodeGraph, queries: DataFrame, match="like", cap=MAX_RESULTS, exact_first=False):
+def resolve_symbols(graph: CodeGraph, queries: DataFrame, match="like", cap=None, exact_first=False):
     """Candidate monikers per name: exact display names first, then by length."""
     found = matched_symbols(graph, queries, match, cap, exact_first)
     distinct = found if graph.merged else found.dropDuplicates(["query_id", "symbol"])
@@ -86,7 +86,7 @@ def _chunk_locations(df):
 
 
 def find_definitions(
-    graph: CodeGraph, queries: DataFrame, limit=MAX_RESULTS, match="like", cap=MAX_RESULTS, exact_first=False,
+    graph: CodeGraph, queries: DataFrame, limit=None, match="like", cap=None, exact_first=False,
     bitwise=False,
 ) -> DataFrame:
     """Definition sites: precise ranges, or defining chunks for monikers without any range."""
@@ -113,8 +113,8 @@ def find_definitions(
 
 
 def find_references(
-    graph: CodeGraph, queries: DataFrame, limit=MAX_RESULTS, include_definition=False, match="like",
-    cap=MAX_RESULTS, exact_first=False, role_policy="strict",
+    graph: CodeGraph, queries: DataFrame, limit=None, include_definition=False, match="like",
+    cap=None, exact_first=False, role_policy="strict",
 ) -> DataFrame:
     """Chunks that mention a matched symbol without defining it; optionally definitions too."""
     matched, n_queries = _match(graph, queries, match, cap, exact_first)
@@ -126,7 +126,7 @@ def find_references(
 
 
 def find_implementations(
-    graph: CodeGraph, queries: DataFrame, limit=MAX_RESULTS, match="like", cap=MAX_RESULTS, exact_first=False,
+    graph: CodeGraph, queries: DataFrame, limit=None, match="like", cap=None, exact_first=False,
     by_key=False, fallback=False,
 ) -> DataFrame:
     """Symbols that declare an implementation of a matched symbol, one site each.

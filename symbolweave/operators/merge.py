@@ -22,6 +22,10 @@ def _relabel(graph: CodeGraph, label: str, position: int) -> CodeGraph:
             df = df.withColumn(name, joined if label else own)
         return df
 
+    if label:
+        clash = graph.documents.filter(F.coalesce("source", F.lit("")).isin("", label)).select(F.coalesce("source", F.lit(""))).distinct()
+        if clash.count() > 1:
+            raise ValueError(f"the graph labelled {label!r} holds both an unnamed source and one of that name")
     marks = {"_label": F.lit(label), "_position": F.lit(position)}
     return CodeGraph(
         documents=scoped(graph.documents, "source").withColumns(marks),
@@ -136,6 +140,9 @@ def extend_graph(merged: CodeGraph, label: str, addition: CodeGraph) -> CodeGrap
     Only symbols whose key is new are appended; edges of the addition are mapped to the
     existing or new rows. Documents, chunks and edges of the merged graph pass unchanged.
     """
+    known_source = (F.col("source") == label) | F.col("source").startswith(f"{label}/")
+    if not merged.documents.filter(known_source).isEmpty():
+        raise ValueError(f"the graph already holds a source {label!r}")
     added = _relabel(addition, label, 1)
     old_keys = monikers.dedup_key(F.col("symbol"), F.lit(""))
     known = merged.symbols.select(

@@ -66,11 +66,11 @@ def target_subdirs(targets: DataFrame) -> DataFrame:
         dict(targets.dtypes)["position"]).alias("position")))
 
 
-def render_roots(listing: DataFrame, cap: int | None = MAX_RENDER_ROOTS) -> DataFrame:
+def render_roots(listing: DataFrame, cap: int | None = None) -> DataFrame:
     """Folders to render per repository: local kustomizations first, then own charts.
 
     ``listing(repo, path, remote_chart)``; a kustomization that pulls a remote chart is
-    skipped and also hides a chart in the same folder. The result is capped per repository.
+    skipped and also hides a chart in the same folder. A cap per repository may be given.
     """
     folder = paths.parent_dir(F.col("path"))
     name = paths.base_name(F.col("path"))

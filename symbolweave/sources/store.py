@@ -1,6 +1,8 @@
 """Graphs on disk: Parquet tables under one folder, written once and queried many times."""
 
+import hashlib
 import tempfile
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -41,7 +43,11 @@ def write_graph(graph: CodeGraph, folder: str, sites: bool = True, site_buckets:
     The rebalance hint gathers the rows of a partition into files of the advisory size: a
     source or symbol with most of the rows is split over many tasks and files, small ones
     share a task.
+
+    The tables go to a new version under the folder, and the pointer to it is written last: a graph may be read from
+    the folder it is written to, and a failed write leaves the old version in place. Old versions stay for readers.
     """
+    pointer, folder, version = folder, *_new_version(folder)
     for name, (fields, partition, order) in _LAYOUT.items():
         table = getattr(graph, name)
         for field in fields.fields:
@@ -55,7 +61,7 @@ def write_graph(graph: CodeGraph, folder: str, sites: bool = True, site_buckets:
         )
     spark = graph.documents.sparkSession
     if sites:
-        stored = load_graph(spark, folder, merged=graph.merged, sites=False)
+        stored = _open(spark, folder, graph.merged, False, site_buckets)
         edges = stored.sites()
         by_symbol, by_file = symbol_bucket(site_buckets), file_bucket(F.col("relative_path"), site_buckets)
         _write_bucketed(edges, f"{folder}/sites", "symbol_bucket", by_symbol, SYMBOL_KEY)
@@ -66,8 +72,9 @@ def write_graph(graph: CodeGraph, folder: str, sites: bool = True, site_buckets:
         )
     facts = spark.range(1).select(
         F.lit(graph.merged).alias("merged"), F.lit(sites).alias("sites"), F.lit(site_buckets).alias("site_buckets"),
+        F.lit(version).alias("version"),
     )
-    facts.write.mode("overwrite").parquet(f"{folder}/properties")
+    facts.coalesce(1).write.mode("overwrite").parquet(f"{pointer}/properties")
 
 
 def _read(spark, folder, name, fields, partition=None) -> DataFrame:
@@ -78,13 +85,19 @@ def _read(spark, folder, name, fields, partition=None) -> DataFrame:
 
 def load_graph(spark: SparkSession, folder: str, merged: bool | None = None, sites: bool | None = None) -> CodeGraph:
     """Open a written graph. A missing folder is an error."""
-    buckets = SITE_BUCKETS
-    if merged is None or sites is None:
-        facts = spark.read.schema("merged boolean, sites boolean, site_buckets int").parquet(f"{folder}/properties")
-        found = facts.first()
-        merged = found["merged"] if merged is None else merged
-        sites = found["sites"] if sites is None else sites
-        buckets = found["site_buckets"]
+    facts = spark.read.schema("merged boolean, sites boolean, site_buckets int, version string").parquet(f"{folder}/properties")
+    found = facts.first()
+    merged = found["merged"] if merged is None else merged
+    sites = found["sites"] if sites is None else sites
+    return _open(spark, f"{folder}/{found['version']}", merged, sites, found["site_buckets"])
+
+
+def _new_version(folder):
+    version = f"version-{uuid.uuid4().hex}"
+    return f"{folder}/{version}", version
+
+
+def _open(spark, folder, merged, sites, buckets):
     tables = {name: _read(spark, folder, name, fields, part) for name, (fields, part, _) in _LAYOUT.items()}
     return CodeGraph(
         **tables, merged=merged, site_buckets=buckets,
@@ -119,7 +132,7 @@ def _folder_for(spark, name, write):
     key = (spark.sparkContext.applicationId, name)
     if key not in _STORED:
         base = f"{shared_folder(spark)}/symbolweave/{spark.sparkContext.applicationId}"
-        folder = f"{base}/{name.strip('/').replace('/', '_')}"
+        folder = f"{base}/{name.strip('/').replace('/', '_')}-{hashlib.sha1(name.encode()).hexdigest()[:12]}"
         write(folder)
         _STORED[key] = folder
     return _STORED[key]

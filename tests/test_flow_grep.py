@@ -79,7 +79,9 @@ def test_long_bodies_are_cut_and_marked(frame, make_graph, ask):
     graph = make_graph(documents=[(1, "f", "go")], symbols=[(1, "p/Big#")], ranges=[(1, 1, 10, 0, 299, 1)])
     text = "\n".join(str(i) for i in range(400))
     lines = grep.source_lines(frame("source string, file string, text string", [("", "f", text)]))
-    shown = grep.grep_symbols(graph, ask("Big"), lines)
+    whole = grep.grep_symbols(graph, ask("Big"), lines)
+    assert sorted(r["line_no"] for r in whole.collect()) == list(range(10, 300))
+    shown = grep.grep_symbols(graph, ask("Big"), lines, body_lines=120)
     got = sorted(r["line_no"] for r in shown.collect())
     assert got == list(range(10, 130))
     assert {(r["truncated"], r["end_line"]) for r in shown.collect()} == {(True, 299)}
@@ -89,3 +91,10 @@ def test_site_counts(grep_graph, ask):
     found = lookup.find_references(grep_graph, ask("Check"), limit=15)
     assert rows(grep.reference_site_counts(found), "n_sites") == [(4,)]
     assert schema.SOURCE_LINES.fieldNames() == ["source", "file", "line_no", "line"]
+
+
+def test_an_empty_file_is_available_without_lines(spark):
+    texts = spark.createDataFrame([("s", "a.go", ""), ("s", "b.go", None)], "source string, file string, text string")
+    windows = spark.createDataFrame([("s", "a.go", 0, 3), ("s", "b.go", 0, 3)], "source string, file string, first_line int, last_line int")
+    shown = grep.window_lines(windows, grep.source_lines(texts))
+    assert sorted((r.file, r.source_available, r.line) for r in shown.collect()) == [("a.go", True, None), ("b.go", False, None)]

@@ -53,7 +53,7 @@ def test_reference_limit_and_cap_flag(graph, ask):
 
 
 def test_resolution_ranks_exact_names_first(graph, ask):
-    found = lookup.resolve_symbols(graph, ask("authorizeToParticipantAndAdminRole", "USEREXISTS", "nothing"))
+    found = lookup.resolve_symbols(graph, ask("authorizeToParticipantAndAdminRole", "USEREXISTS", "nothing"), cap=50)
     assert rows(found, "query_id", "rank", "symbol", "is_exact") == [
         ("USEREXISTS", 1, C, False),
         ("authorizeToParticipantAndAdminRole", 1, A, True), ("authorizeToParticipantAndAdminRole", 2, B, False),

@@ -26,7 +26,8 @@ def test_round_trip_gives_the_same_answers(spark, pair, ask, frame, tmp_path):
     store.write_graph(merged, folder, site_buckets=4)
     stored = store.load_graph(spark, folder)
     assert stored.merged and stored.stored_sites is not None and stored.site_buckets == 4
-    assert "source=lib" in os.listdir(f"{folder}/mentions")
+    version = next(n for n in os.listdir(folder) if n.startswith("version-"))
+    assert "source=lib" in os.listdir(f"{folder}/{version}/mentions")
     asked = ask("Order")
     for query in (lookup.find_definitions, lookup.find_references, lookup.resolve_symbols):
         assert rows(query(stored, asked)) == rows(query(merged, asked))
@@ -118,3 +119,23 @@ def test_shared_folder_follows_the_session():
     assert os.path.isdir(store.shared_folder(_Session(None, "local[2]")))
     with pytest.raises(ValueError):
         store.shared_folder(_Session(None, "yarn"))
+
+
+def test_a_graph_can_be_written_onto_itself(spark, make_graph, ask, tmp_path):
+    one = make_graph(documents=[(1, "e.go", "go")], symbols=[(1, "p/T#")], chunks=[(1, 1, 0, 9)], mentions=[(1, 1, 8)], source="a")
+    two = make_graph(documents=[(1, "f.go", "go")], symbols=[(1, "p/T#")], chunks=[(1, 1, 3, 9)], mentions=[(1, 1, 8)], source="b")
+    folder = f"{tmp_path}/g"
+    store.write_graph(one, folder)
+    longer = merge.extend_graph(store.load_graph(spark, folder), "b", two)
+    expected = rows(lookup.find_references(longer, ask("T")), "file")
+    store.write_graph(longer, folder)
+    assert rows(lookup.find_references(store.load_graph(spark, folder), ask("T")), "file") == expected and len(expected) == 2
+    with pytest.raises(ValueError):
+        merge.extend_graph(store.load_graph(spark, folder), "b", two)
+
+
+def test_a_label_that_hides_a_source_is_refused(make_graph):
+    parts = [make_graph(documents=[(1, "e.go", "go")], source=s) for s in ("", "x")]
+    both = merge.CodeGraph(**{n: getattr(parts[0], n).unionByName(getattr(parts[1], n)) for n in ("documents", "symbols", "chunks", "mentions", "definition_ranges")})
+    with pytest.raises(ValueError):
+        merge.merge_graphs([("x", both), ("y", parts[0])])
