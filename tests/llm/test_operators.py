@@ -189,3 +189,42 @@ def test_fuzzy_lines_keep_one_of_each_group(spark):
     kept = fuzzy_lines.deduplicated_documents(documents(spark, rows))
     assert kept.columns == documents(spark, rows).columns and kept.count() == len(rows)
     assert fuzzy_lines.dedup_lines(documents(spark, rows).limit(0)).count() == 0
+
+
+def test_parities_never_exceed_the_difference():
+    from symbolweave.llm import jaccard_join
+
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 1023, 1024, 1025, 2047, 2049, 4200):
+        first = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        second = np.unique(np.concatenate((first[: int(n * 0.93)], rng.integers(0, 2**63, n // 12 + 1).astype(np.uint64))))
+        lengths, views = jaccard_join._parities([jaccard_join._parity(first), jaccard_join._parity(second)])
+        place, bits = views[int(lengths.min())]
+        assert np.bitwise_count(bits[place[0]] ^ bits[place[1]]).sum() <= len(np.setxor1d(first, second))
+
+
+def test_verified_groups_equal_brute_force():
+    from symbolweave.llm import jaccard_join
+
+    rng = np.random.default_rng(5)
+    sets = []
+    for _ in range(40):
+        base = rng.integers(0, 4000, rng.integers(1, 160)).astype(np.uint64)
+        for _ in range(rng.integers(1, 30)):
+            other = base.copy()
+            changed = int(len(other) * rng.uniform(0, 0.12))
+            other[:changed] = rng.integers(0, 4000, changed)
+            sets.append(np.unique(other))
+    ids = rng.permutation(len(sets)).tolist()
+    got = dict(zip(*jaccard_join._linked_rows(ids, sets, 85, 100)))
+    least = list(ids)
+    plain = [set(s.tolist()) for s in sets]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if 185 * len(plain[i] & plain[j]) >= 85 * (len(plain[i]) + len(plain[j]))]
+    moved = True
+    while moved:
+        moved = False
+        for i, j in links:
+            low = min(least[i], least[j])
+            moved |= least[i] != low or least[j] != low
+            least[i] = least[j] = low
+    assert [got.get(i, i) for i in ids] == least
