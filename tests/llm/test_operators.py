@@ -228,3 +228,19 @@ def test_verified_groups_equal_brute_force():
             moved |= least[i] != low or least[j] != low
             least[i] = least[j] = low
     assert [got.get(i, i) for i in ids] == least
+
+
+def test_lines_of_one_passage_find_their_near_copies(spark):
+    """Many lines that share a passage and are not alike: their bands hold them all, and pairs among them are still found."""
+    rng = random.Random(11)
+    say = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n))
+    passage, rows, pairs = say(12), [], []
+    for i in range(120):
+        line = f"{passage} {say(16)}"
+        rows.append((2 * i, line, None, None))
+        if i % 3 == 0:
+            rows.append((2 * i + 1, line[:-6] + say(1), None, None))
+            pairs.append(2 * i + 1)
+    got = {r.doc_id: r.n_removed for r in fuzzy_lines.dedup_lines(documents(spark, rows)).collect()}
+    assert all(got[i] == 0 for i in got if i not in pairs)
+    assert sum(got[i] for i in pairs) == len(pairs)
