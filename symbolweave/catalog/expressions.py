@@ -112,7 +112,7 @@ def _(spark, folder):
 
 @register("range_shapes", """SELECT DISTINCT l_orderkey, l_linenumber, n, CASE n WHEN 3 THEN 'a:1:a:2' WHEN 4 THEN 'a:1:b:2' END AS bounds,
   CASE WHEN n = 3 OR (n = 4 AND b = 0) THEN 'a:1:2' END AS token,
-  CASE WHEN b = 0 THEN 2 ELSE 2 END AS lsp_end, n = 4 AND b < 0 AS bad
+  CASE WHEN b = 0 THEN 7 ELSE 2 END AS lsp_end, n = 4 AND b < 0 AS bad
 FROM (SELECT l_orderkey, l_linenumber, l_linenumber % 4 + 2 AS n, l_partkey % 3 - 1 AS b FROM lineitem)""")
 def _(spark, folder):
     a, b = F.lit(10), F.lit(10) + (F.col("l_partkey") % 3 - 1).cast("int")
@@ -128,7 +128,7 @@ def _(spark, folder):
     return table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", n.alias("n"), shown(bounds).alias("bounds"),
         F.when(token.isNotNull(), F.concat_ws(":", F.lit("a"), token["start_char"], token["end_char"])).alias("token"),
-        ranges.lsp_range(a, F.lit(1), b, F.lit(2)).alias("lsp_end"), ranges.invalid_enclosing_range(rng).alias("bad"),
+        ranges.lsp_range(a, F.lit(1), b, F.lit(7)).alias("lsp_end"), ranges.invalid_enclosing_range(rng).alias("bad"),
     ).distinct()
 
 
