@@ -244,3 +244,10 @@ def test_lines_of_one_passage_find_their_near_copies(spark):
     got = {r.doc_id: r.n_removed for r in fuzzy_lines.dedup_lines(documents(spark, rows)).collect()}
     assert all(got[i] == 0 for i in got if i not in pairs)
     assert sum(got[i] for i in pairs) == len(pairs)
+
+
+def test_short_lines_find_their_near_copies(spark):
+    pairs = [("Click here", "Click here!"), ("Read more here", "Read more here."), ("Next page", "Next page."), ("Sign in now", "Sign in now?")]
+    rows = [(2 * i + k, line, None, None) for i, pair in enumerate(pairs) for k, line in enumerate(pair)] + [(90, "Next stage", None, None), (91, "Click", None, None)]
+    got = {r.doc_id: r.n_removed for r in fuzzy_lines.dedup_lines(documents(spark, rows)).collect()}
+    assert got == {**{2 * i: 0 for i in range(4)}, **{2 * i + 1: 1 for i in range(4)}, 90: 0, 91: 0}
