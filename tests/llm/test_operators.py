@@ -251,3 +251,33 @@ def test_short_lines_find_their_near_copies(spark):
     rows = [(2 * i + k, line, None, None) for i, pair in enumerate(pairs) for k, line in enumerate(pair)] + [(90, "Next stage", None, None), (91, "Click", None, None)]
     got = {r.doc_id: r.n_removed for r in fuzzy_lines.dedup_lines(documents(spark, rows)).collect()}
     assert got == {**{2 * i: 0 for i in range(4)}, **{2 * i + 1: 1 for i in range(4)}, 90: 0, 91: 0}
+
+
+@pytest.fixture(scope="module")
+def crowded(spark):
+    """Lines in groups: v variants of one line, p lines of one passage, d the same shingles at unequal length; and how many of each go."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8)))
+    base, lines, k = [word() for _ in range(30)], [], 0
+    for _ in range(500):
+        varied = list(base)
+        for i in rng.sample(range(30), 2):
+            varied[i] = word()
+        lines.append(("v", " ".join(varied)))
+    passage = " ".join(word() for _ in range(12))
+    while k < 750:
+        tail = [word() for _ in range(14)]
+        for _ in range(rng.choice((1, 2, 3))):
+            varied = list(tail)
+            for i in rng.sample(range(14), 2):
+                varied[i] = word()
+            lines.append(("p", passage + " " + " ".join(varied)))
+            k += 1
+    lines += [("d", line) for line in ("-" * 10, "-" * 30, "alpha beta gamma delta " * 3, "alpha beta gamma delta " * 10)]
+    rows = [(i, line, None, None) for i, (_, line) in enumerate(lines)]
+    got = {r.doc_id: r.n_removed for r in fuzzy_lines.dedup_lines(documents(spark, rows)).select("doc_id", "n_removed").collect()}
+    return lines, {g: sum(got[i] for i, (h, _) in enumerate(lines) if h == g) for g in "vpd"}
+
+
+def test_lines_left_of_a_band_meet(crowded):
+    assert crowded[1]["v"] >= 350
