@@ -281,3 +281,22 @@ def crowded(spark):
 
 def test_lines_left_of_a_band_meet(crowded):
     assert crowded[1]["v"] >= 350
+
+
+def test_crowded_bands_equal_brute_force(crowded):
+    lines, removed = crowded
+    for group in "vp":
+        sets = [{line[i : i + 5] for i in range(len(line) - 4)} for h, line in lines if h == group]
+        parent = list(range(len(sets)))
+
+        def root(x):
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for i in range(len(sets)):
+            for j in range(i):
+                if 180 * len(sets[i] & sets[j]) >= 80 * (len(sets[i]) + len(sets[j])):
+                    parent[root(i)] = root(j)
+        assert removed[group] == len(sets) - len({root(i) for i in range(len(sets))})
