@@ -300,3 +300,7 @@ def test_crowded_bands_equal_brute_force(crowded):
                 if 180 * len(sets[i] & sets[j]) >= 80 * (len(sets[i]) + len(sets[j])):
                     parent[root(i)] = root(j)
         assert removed[group] == len(sets) - len({root(i) for i in range(len(sets))})
+
+
+def test_lines_of_the_same_shingles_link_at_any_length(crowded):
+    assert crowded[1]["d"] == 2
