@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from symbolweave.llm.common import stored
 
 SIZES, BITS = (3, 4, 5), 20
-SAMPLE_ROWS, SAMPLE_CHARS, FEATURES, LEAST_COUNT, STEPS, DECAY = 12_000, 20_000, 8192, 5, 150, 1e-4
+SAMPLE_ROWS, FEATURES, LEAST_COUNT, STEPS, DECAY = 12_000, 8192, 5, 150, 1e-4
 
 
 def gram_buckets(text: str) -> np.ndarray:
@@ -47,13 +47,13 @@ class Model:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, usable: Column, label: str, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``text, y`` of the ``rows`` usable labelled ids with the smallest hash, texts cut at ``SAMPLE_CHARS`` for learning.
+    """``text, y`` of the ``rows`` usable labelled ids with the smallest hash, with their whole texts.
 
-    The sample has a fixed bound, so it is broadcast and no text is shuffled but the sample's.
+    The ids of the sample have a fixed bound, so they are broadcast and no text is shuffled but the sample's.
     """
     few = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & usable).select("doc_id", F.col(label).cast("int").alias("y")).dropDuplicates(["doc_id"])
     few = few.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(rows)
-    texts = documents.select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS).alias("text"))
+    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return texts.join(F.broadcast(few), "doc_id").select("text", "y")
 
 

@@ -304,3 +304,13 @@ def test_crowded_bands_equal_brute_force(crowded):
 
 def test_lines_of_the_same_shingles_link_at_any_length(crowded):
     assert crowded[1]["d"] == 2
+
+
+def test_toxicity_learns_from_late_passages(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(WORDS) for _ in range(7500)) + (" vile slur" if i % 2 else ""), "en", "s") for i in range(24)]
+    assert min(len(text) for _, text, _, _ in rows) > 20_010
+    docs = documents(spark, rows)
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    model = toxicity.fit(toxicity.labelled_sample(docs, labels, F.col("doc_id") < 16, "toxic"))
+    assert all((model.score(text) > 0.5) == bool(i % 2) for i, text, _, _ in rows)
