@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE_ROWS, SAMPLE_CHARS, LANGUAGE_CHARS, BLOCK, BATCH_CHARS = 96, 1000, 16_000, 256, 1 << 21
+SAMPLE_ROWS, LANGUAGE_CHARS, BLOCK, BATCH_CHARS = 96, 16_000, 256, 1 << 21
 UNKNOWN = "und"
 
 
@@ -124,19 +124,34 @@ class Parser:
         return out
 
 
-def fit(rows: DataFrame, language: str = "lang") -> Parser:
-    """Automata from a bounded sample of ``rows(doc_id, text, lang)`` with a language.
+def fit(rows: DataFrame, language: str = "lang", sample_rows: int = SAMPLE_ROWS, language_chars: int = LANGUAGE_CHARS) -> Parser:
+    """Automata from whole texts of a bounded sample of ``rows(doc_id, text, lang)`` with a language.
 
-    Per language the rows with the smallest hashed ids, at most ``SAMPLE_ROWS`` of at most ``SAMPLE_CHARS`` characters
-    each and ``LANGUAGE_CHARS`` together: the limits hold for learning alone.
+    Per language the ``sample_rows`` different texts with the smallest hashed ids are looked at, and in that order those
+    are learnt, uncut, that fit into ``language_chars`` characters together, or the shortest if none does.
     """
-    heads = rows.where(F.col(language).isNotNull() & F.col("text").rlike(r"\p{L}")).select(
-        F.col(language).alias("lang"), F.xxhash64(F.col("doc_id").cast("string")).alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("head"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "head"))
+    named = rows.where(F.col(language).isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        F.col(language).alias("lang"), F.xxhash64(F.col("doc_id").cast("string")).alias("h"), F.xxhash64("text").alias("copy"), F.length("text").alias("n"), "text")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "copy"))
+    different = named.groupBy("lang", "copy").agg(F.min("h").alias("h"), F.min("n").alias("n"))
+    drawn: dict[str, list] = {}
+    for row in different.withColumn("place", place).where(F.col("place") <= sample_rows).orderBy("lang", "place").collect():
+        drawn.setdefault(row["lang"], []).append(row)
+    taken = []
+    for of_language in drawn.values():
+        room, before = language_chars, len(taken)
+        for row in of_language:
+            if row["n"] <= room:
+                taken.append((row["lang"], row["copy"]))
+                room -= row["n"]
+        if len(taken) == before:
+            taken.append(min((r["n"], i, r["lang"], r["copy"]) for i, r in enumerate(of_language))[2:])
+    whole = named.where(F.col("copy").isin([copy for _, copy in taken])).groupBy("lang", "copy").agg(F.min("text").alias("text"))
+    found = {(row["lang"], row["copy"]): row["text"] for row in whole.collect()}
     texts: dict[str, list[str]] = {}
-    for row in heads.withColumn("place", place).where(F.col("place") <= SAMPLE_ROWS).orderBy("lang", "place").collect():
-        texts.setdefault(row["lang"], []).append("".join(map(chr, letters_only(row["head"]))))
-    return Parser({k: " ".join(v)[:LANGUAGE_CHARS] for k, v in texts.items() if any(c != " " for c in "".join(v))})
+    for lang, copy in taken:
+        texts.setdefault(lang, []).append("".join(map(chr, letters_only(found[lang, copy]))))
+    return Parser({k: " ".join(v) for k, v in texts.items() if any(c != " " for c in "".join(v))})
 
 
 def identify(documents: DataFrame, parser: Parser, held_out: Column | None = None) -> DataFrame:

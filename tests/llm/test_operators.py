@@ -314,3 +314,12 @@ def test_toxicity_learns_from_late_passages(spark):
     labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
     model = toxicity.fit(toxicity.labelled_sample(docs, labels, F.col("doc_id") < 16, "toxic"))
     assert all((model.score(text) > 0.5) == bool(i % 2) for i, text, _, _ in rows)
+
+
+def test_languages_are_learnt_from_whole_texts(spark):
+    rng = random.Random(9)
+    pick = {"aa": ["kalo", "timu", "reno"], "bb": ["zwix", "plork", "quen"]}
+    rows = [(i, "12 " * 400 + " ".join(rng.choice(pick[lang]) for _ in range(30)), lang, "s") for i in range(20) for lang in [("aa", "bb")[i % 2]]]
+    docs = documents(spark, rows)
+    for parser in (langid.fit(docs), langid.fit(docs, sample_rows=3, language_chars=10)):
+        assert {r.doc_id: r.lang_pred for r in langid.identify(docs, parser).collect()} == {i: lang for i, _, lang, _ in rows}
