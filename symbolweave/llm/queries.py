@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from symbolweave.llm import bpe, fuzzy_lines, itq, jaccard_join, langid, mixing, norm_topk, suffix_dedup, toxicity, warc
+from symbolweave.llm import bpe, fuzzy_lines, itq, jaccard_join, langid, mixing, norm_topk, suffix_dedup, toxicity, turn_repair, warc
 from symbolweave.llm.common import fold_of, ship, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -219,3 +219,9 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with one line of each group of near-equal lines: counts and a digest of the text that stays."""
     kept = fuzzy_lines.dedup_lines(_table(spark, folder, "documents"))
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+@_query("op13_turn_repair")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation after the damage: its faults, its cheapest edits and a digest of its repaired turns."""
+    return turn_repair.repair(_table(spark, folder, "conversations")).report()
