@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from symbolweave.llm import bpe, fuzzy_lines, itq, jaccard_join, langid, mixing, norm_topk, suffix_dedup, toxicity, turn_repair, warc
+from symbolweave.llm import bpe, fuzzy_lines, itq, jaccard_join, langid, mixing, norm_topk, pii_crf, suffix_dedup, token_align, toxicity, turn_repair, warc
 from symbolweave.llm.common import fold_of, ship, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -221,6 +221,21 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+@_query("op11_pii_spans")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every whole text: the fixed patterns' counts and digest, and all spans."""
+    return pii_crf.find_spans(_table(spark, folder, "documents"))
+
+
+@_query("op12_token_align")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Every whole text in the tokens of two vocabularies: groups, links and how common the links are in the corpus."""
+    import public_tokenizers
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_align.align(_table(spark, folder, "documents"), *paths).measures()
+
+
 @_query("op13_turn_repair")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation after the damage: its faults, its cheapest edits and a digest of its repaired turns."""
