@@ -41,13 +41,11 @@ def latest_snapshot(snapshots: DataFrame, keys=()) -> DataFrame:
 def discover_snapshots(spark, root: str) -> DataFrame:
     """Snapshots written under ``root/<name>/`` with their modification time.
 
-    Only the small properties file of each snapshot is listed.
+    Only the small properties files of each snapshot are listed.
     """
-    files = spark.read.schema("merged boolean").parquet(f"{root}/*/properties").select(
-        "_metadata.file_path", "_metadata.file_modification_time",
-    )
-    return files.groupBy(F.regexp_extract("file_path", "^(.*)/properties/[^/]*$", 1).alias("path")).agg(
-        F.max("file_modification_time").alias("modified"),
+    files = spark.read.format("binaryFile").load(f"{root}/*/properties/graph-*.json").select("path", "modificationTime")
+    return files.groupBy(F.regexp_extract("path", "^(.*)/properties/[^/]*$", 1).alias("path")).agg(
+        F.max("modificationTime").alias("modified"),
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import schema
 from ..graph import SITE_BUCKETS, SYMBOL_KEY, CodeGraph, file_bucket, symbol_bucket
 from ..operators.merge import merge_graphs
+from . import commits
 
 _LAYOUT = {
     "documents": (schema.DOCUMENTS, "source", ["source", "doc_id"]),
@@ -44,8 +45,8 @@ def write_graph(graph: CodeGraph, folder: str, sites: bool = True, site_buckets:
     source or symbol with most of the rows is split over many tasks and files, small ones
     share a task.
 
-    The tables go to a new version under the folder, and the pointer to it is written last: a graph may be read from
-    the folder it is written to, and a failed write leaves the old version in place. Old versions stay for readers.
+    The tables go to a new version under the folder, and one renamed file makes it the current one: a graph may be read
+    from the folder it is written to, and a write that fails at any point leaves the version before. Old versions stay.
     """
     pointer, folder, version = folder, *_new_version(folder)
     for name, (fields, partition, order) in _LAYOUT.items():
@@ -70,11 +71,15 @@ def write_graph(graph: CodeGraph, folder: str, sites: bool = True, site_buckets:
         _write_bucketed(
             edges.select(*columns), f"{folder}/file_sites", "file_bucket", by_file, ["relative_path", "start_line"],
         )
-    facts = spark.range(1).select(
-        F.lit(graph.merged).alias("merged"), F.lit(sites).alias("sites"), F.lit(site_buckets).alias("site_buckets"),
-        F.lit(version).alias("version"),
-    )
-    facts.coalesce(1).write.mode("overwrite").parquet(f"{pointer}/properties")
+    try:
+        number, _ = commits.latest_commit(spark, f"{pointer}/properties", "graph")
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error.getCondition()):
+            raise
+        number = 0
+    commits.commit(spark, f"{pointer}/properties", "graph", number + 1, {
+        "merged": graph.merged, "sites": sites, "site_buckets": site_buckets, "version": version,
+    })
 
 
 def _read(spark, folder, name, fields, partition=None) -> DataFrame:
@@ -85,8 +90,7 @@ def _read(spark, folder, name, fields, partition=None) -> DataFrame:
 
 def load_graph(spark: SparkSession, folder: str, merged: bool | None = None, sites: bool | None = None) -> CodeGraph:
     """Open a written graph. A missing folder is an error."""
-    facts = spark.read.schema("merged boolean, sites boolean, site_buckets int, version string").parquet(f"{folder}/properties")
-    found = facts.first()
+    _, found = commits.latest_commit(spark, f"{folder}/properties", "graph")
     merged = found["merged"] if merged is None else merged
     sites = found["sites"] if sites is None else sites
     return _open(spark, f"{folder}/{found['version']}", merged, sites, found["site_buckets"])
