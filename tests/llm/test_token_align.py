@@ -88,10 +88,11 @@ def test_repeated_and_null_ids_keep_their_rows(spark):
 def test_blocks_and_cache_do_not_change_a_text(monkeypatch):
     rng = random.Random(5)
     text = "".join(rng.choice(["word ", "Two ", "naïve\n", "1 ", "  ", "long-winded ", "　"]) for _ in range(600))
-    read = lambda: token_align.Aligner(open(PATHS[0], encoding="utf-8").read(), open(PATHS[1], "rb").read()).text(text)
+    read = lambda: token_align.Aligner(open(PATHS[0], encoding="utf-8").read(), open(PATHS[1], "rb").read()).texts([text, "one", text])[2]
     whole = read()
     monkeypatch.setattr(token_align, "BLOCK_CHARS", 50)
-    monkeypatch.setattr(token_align, "CACHE_PIECES", 3)
+    monkeypatch.setattr(token_align, "CACHE_PIECES", 4)
+    monkeypatch.setattr(token_align, "BATCH_CHARS", 120)
     parts = read()
     assert whole[:4] == parts[:4] and all((x == y).all() for x, y in zip(whole[4:], parts[4:]))
     assert whole[:4] == (*plain([(0, text)])[0][:3], plain([(0, text)])[0][6])
