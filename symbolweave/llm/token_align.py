@@ -18,7 +18,7 @@ from symbolweave.llm.common import stored
 # A space between two printable characters: no token of either vocabulary reaches over it, so what lies between two is a piece.
 CUT = re.compile("(?<=[!-~À-ɏ]) (?=[!-~À-ɏ])")
 INNER = re.compile("[!-~À-ɏ]{1,2}")
-BLOCK_CHARS, BATCH_CHARS, CACHE_PIECES, BATCH = 65_536, 500_000, 700_000, 512
+BLOCK_CHARS, BATCH_CHARS, CACHE_PIECES, BATCH = 65_536, 500_000, 250_000, 512
 # Fixed value: the pattern by which byte-level vocabularies split a text.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BROADCAST_PAIRS = 1_000_000
