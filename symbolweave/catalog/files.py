@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..constants import MAX_RESULTS
 from ..operators import files, reports
 from . import sql
-from .inputs import SCOPES, merged_graph, rows
+from .inputs import SCOPES, merged_graph, rows, wide_graph
 from .registry import register
 
 _LISTED = f"""{sql.MERGED}, {sql.values("scope", SCOPES)}, numbered AS (
@@ -34,6 +34,11 @@ def _(spark, folder):
     return files.list_symbols(merged_graph(spark, folder), rows(spark, "scope", SCOPES))
 
 
+@register("list_symbols_boundary_all", f"{_BOUNDARY.replace('WHERE rn <= 50', '')} SELECT * FROM listed")
+def _(spark, folder):
+    return files.list_symbols(merged_graph(spark, folder), rows(spark, "scope", SCOPES), boundary=True)
+
+
 def all_folders(graph):
     """Every folder of the graph as a scope."""
     folder = F.concat(F.substring_index("relative_path", "/", 2), F.lit("/"))
@@ -55,7 +60,13 @@ SELECT query_id, file, string_agg(display_name || ' (line ' || CAST(start_line A
   ORDER BY start_line, display_name) AS symbols FROM listed GROUP BY query_id, file""")
 def _(spark, folder):
     listed = files.list_symbols(merged_graph(spark, folder), rows(spark, "scope", SCOPES), limit=MAX_RESULTS)
-    return reports.symbols_by_file(listed).withColumn("symbols", F.array_join("symbols", ", "))
+    return reports.symbols_by_file(listed, MAX_RESULTS).withColumn("symbols", F.array_join("symbols", ", "))
+
+
+@register("symbols_by_file_all", f"""{_PREFIX.replace('WHERE rn <= 50', '')}
+SELECT query_id, file, display_name || ' (line ' || CAST(start_line AS VARCHAR) || ')' AS entry FROM listed""")
+def _(spark, folder):
+    return reports.symbols_by_file(files.list_symbols(merged_graph(spark, folder), rows(spark, "scope", SCOPES)))
 
 
 _IMPORTS = f"""{sql.MERGED}, found AS (SELECT DISTINCT file AS query_id, file, symbol, {sql.display('symbol')} AS display_name
@@ -77,10 +88,26 @@ SELECT query_id, string_agg(display_name, ', ' ORDER BY display_name) AS names
 FROM (SELECT DISTINCT query_id, display_name FROM found) GROUP BY query_id""")
 def _(spark, folder):
     graph = merged_graph(spark, folder)
-    names = reports.distinct_names(files.get_imports(graph, all_files(graph), limit=MAX_RESULTS))
+    names = reports.distinct_names(files.get_imports(graph, all_files(graph), limit=MAX_RESULTS), MAX_RESULTS)
     return names.withColumn("names", F.array_join("names", ", "))
 
 
+_WIDE_IMPORTS = f"""{sql.WIDE}, found AS (SELECT DISTINCT file AS query_id, file, symbol, {sql.display('symbol')} AS display_name
+  FROM wsites WHERE role <> 0 AND (role & 1) = 0)"""
+
+
+@register("get_imports_all", f"{_WIDE_IMPORTS} SELECT query_id, file, symbol, display_name FROM found")
+def _(spark, folder):
+    graph = wide_graph(spark, folder)
+    return files.get_imports(graph, all_files(graph))
+
+
+@register("import_names_all", f"{_WIDE_IMPORTS} SELECT DISTINCT query_id, display_name FROM found")
+def _(spark, folder):
+    graph = wide_graph(spark, folder)
+    return reports.distinct_names(files.get_imports(graph, all_files(graph)))
+
+
 def all_positions(graph):
     """One line of every document."""
     return graph.documents.select(
@@ -98,6 +125,15 @@ def _(spark, folder):
     return files.symbols_at(graph, all_positions(graph), limit=MAX_RESULTS)
 
 
+@register("symbols_at_all", f"""{sql.WIDE}, asked AS (
+  SELECT relative_path AS file, CAST(doc_id * 7 % 140 AS INTEGER) AS line FROM wdocs)
+SELECT DISTINCT q.file AS query_id, q.file, q.line, s.symbol, {sql.display('s.symbol')} AS display_name
+FROM asked q JOIN wsites s ON s.file = q.file AND q.line BETWEEN s.start_line AND s.end_line""")
+def _(spark, folder):
+    graph = wide_graph(spark, folder)
+    return files.symbols_at(graph, all_positions(graph))
+
+
 @register("edge_sites", f"{sql.MERGED} SELECT source, symbol, role, file, start_line, end_line FROM sites")
 def _(spark, folder):
     return merged_graph(spark, folder).sites().select(

@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from ..functions import monikers
-from ..operators import build, kubernetes, protobuf, terraform
+from ..operators import build, kubernetes, lookup, merge, protobuf, terraform
 from ..sources import star_inputs
+from ..sources.store import stored_once
 from . import inputs, sql
 from .registry import register
 
@@ -161,6 +162,23 @@ def _(spark, folder):
     return kubernetes.object_references(inputs.k8s_objects(spark, folder)).groupBy("source", "symbol").agg(F.count(F.lit(1)).alias("n"))
 
 
+_ACCESS = f"""WITH o AS (SELECT *, {sql.REPO} AS source, o_orderkey % 8 AS nth, {_NS.format('o_custkey')} AS ns,
+  CAST(o_custkey AS VARCHAR) AS c FROM orders),
+refs AS (
+  SELECT source, CASE WHEN nth IN (1, 2) THEN 'default/ClusterRole/role-' ELSE ns || '/Role/role-' END || c AS name
+  FROM o WHERE nth < 4 AND o_orderkey % 24 <> 0
+  UNION ALL SELECT source, ns || '/Service/service-' || CAST(l_suppkey AS VARCHAR) FROM o JOIN lineitem ON l_orderkey = o_orderkey WHERE nth = 4
+  UNION ALL SELECT source, ns || '/Service/fallback' FROM o WHERE o_orderkey % 16 = 4
+  UNION ALL SELECT source, ns || '/ServiceAccount/account-' || c FROM o WHERE nth >= 5)"""
+
+
+@register("k8s_access_references", f"""{_ACCESS} SELECT source, 'scip-k8s . . . ' || name || '#' AS symbol, count(*) AS n
+FROM refs GROUP BY source, name""")
+def _(spark, folder):
+    found = kubernetes.object_references(star_inputs.access_objects(spark, folder))
+    return found.groupBy("source", "symbol").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- Protobuf ---------------------------------------------------------------------------
 
 _PROTO = f"""{sql.RAW}, msgs AS (SELECT DISTINCT source, 'api/order_' || CAST(doc_id AS VARCHAR) || '.proto' AS relative_path,
@@ -182,6 +200,17 @@ def _(spark, folder):
     return _flat(protobuf.proto_occurrences(*inputs.proto_tables(spark, folder)))
 
 
+@register("proto_file_enums", f"""{sql.RAW}, f AS (SELECT DISTINCT source, 'enums/order_' || CAST(doc_id AS VARCHAR) || '.proto' AS relative_path,
+  l_linenumber AS n, CAST((l_linenumber - 1) * 20 AS INTEGER) AS base FROM edges),
+decl(d, tail, role, line, step) AS (VALUES
+  ('Mode', '#', 1, 17, 1), ('Mode', '#ON.', 1, 19, 1), ('Line', '#', 1, 14, 1), ('Line', '#mode.', 1, 16, 1), ('Mode', '#', 0, 16, 6))
+SELECT source, relative_path, 'scip-proto proto . . ' || d || CAST(n AS VARCHAR) || tail AS symbol, role,
+  CAST(base + line AS VARCHAR) || ',' || CAST(step AS VARCHAR) || ',' || CAST(step + 4 AS VARCHAR) AS range,
+  CAST(NULL AS VARCHAR) AS enclosing_range FROM f, decl""")
+def _(spark, folder):
+    return _flat(protobuf.proto_occurrences(*star_inputs.enum_tables(inputs.edges(spark, folder))))
+
+
 # --- Terraform --------------------------------------------------------------------------
 
 _TF = f"""{sql.RAW}, lines AS (SELECT source, doc_id, l_linenumber AS n, min(part_id) AS part_id FROM edges GROUP BY ALL),
@@ -208,6 +237,58 @@ def _(spark, folder):
     return terraform.terraform_documents(responses, occurrences, star_inputs.TERRAFORM_ROOT)
 
 
+@register("terraform_nested", f"""WITH o AS (SELECT *, {sql.REPO} AS source,
+  CASE WHEN o_orderkey % 1000 = 0 THEN 200 ELSE o_orderkey % 14 + 1 END AS depth FROM orders),
+levels AS (SELECT source, o_orderkey, depth, unnest(range(1, depth + 1)) AS i FROM o)
+SELECT source, 'deep/order_' || CAST(o_orderkey AS VARCHAR) || '.tf' AS relative_path,
+  'scip-terraform . . . attribute/n' || CAST(i AS VARCHAR) || '.' AS symbol,
+  CAST(CASE WHEN i = depth AND o_orderkey % 2 = 0 THEN i + 500 ELSE i END AS INTEGER) AS line, 0 AS character, 1 AS end_character FROM levels""")
+def _(spark, folder):
+    found = terraform.terraform_definitions(star_inputs.nested_responses(spark, folder), star_inputs.TERRAFORM_ROOT)
+    return found.select("source", "relative_path", "symbol", "line", "character", "end_character")
+
+
+# --- From manifests, schemas and server results to answers --------------------------------
+
+
+def _answered(spark, name, occurrences):
+    """References of every name of the merged, stored graph of some occurrences."""
+    graph = stored_once(
+        spark, name, lambda: merge.merge_sources(build.build_graph(occurrences(), per_chunk=PER_CHUNK)), site_buckets=inputs.TEST_BUCKETS,
+    )
+    shown = graph.named_symbols().select(F.col("display_name").alias("query_id"), F.col("display_name").alias("name")).distinct()
+    found = lookup.find_references(graph, shown, match="exact", role_policy="scip")
+    return found.select("query_id", "symbol", "source", "file", "start_line", "end_line", "role")
+
+
+def _answered_sql(base, path, symbol, stored, line, start, end):
+    return f"""{base}, placed AS (SELECT source, {path} AS path, {symbol} AS symbol, role, CAST({line} AS INTEGER) AS line,
+  CAST(floor((row_number() OVER (PARTITION BY source, {path} ORDER BY {line}, {start}, {end}, {symbol}, role) - 1) / {PER_CHUNK}) AS INTEGER) AS ci FROM occ),
+spans AS (SELECT source, path, ci, min(line) AS start_line, max(line) AS end_line FROM placed GROUP BY ALL)
+SELECT DISTINCT {sql.display('p.symbol')} AS query_id, {stored} AS symbol, p.source, p.source || '/' || p.path AS file, s.start_line, s.end_line, p.role
+FROM placed p JOIN spans s USING (source, path, ci) WHERE (p.role & 1) = 0"""
+
+
+@register("k8s_graph_references", _answered_sql(
+    _K8S, "root || '/__rendered__.yaml'", "'scip-k8s . . . ' || name || '#'", "p.source || '/' || p.symbol", "line", "0", "0"))
+def _(spark, folder):
+    return _answered(spark, f"k8s-graph{folder}", lambda: kubernetes.k8s_occurrences(inputs.k8s_objects(spark, folder)))
+
+
+@register("proto_graph_references", _answered_sql(
+    _PROTO, "relative_path", "'scip-proto proto . . ' || d", "p.symbol", "line", "step", "step + width"))
+def _(spark, folder):
+    return _answered(spark, f"proto-graph{folder}", lambda: protobuf.proto_occurrences(*inputs.proto_tables(spark, folder)))
+
+
+@register("terraform_graph_references", _answered_sql(
+    _TF, "relative_path", "'scip-terraform . . . ' || d", "p.source || '/' || p.symbol", "line", "a", "b"))
+def _(spark, folder):
+    responses, references = inputs.terraform_tables(spark, folder)
+    return _answered(spark, f"terraform-graph{folder}",
+                     lambda: terraform.terraform_occurrences(responses, references, star_inputs.TERRAFORM_ROOT))
+
+
 @register("known_definitions", f"""{_K8S} SELECT DISTINCT source, 'scip-k8s . . . ' || name || '#' AS symbol FROM defs""")
 def _(spark, folder):
     return kubernetes.object_definitions(inputs.k8s_objects(spark, folder)).distinct()

@@ -42,7 +42,22 @@ def merged_graph(spark, folder):
 
 
 def text_graph(spark, folder):
-    return stored_once(spark, f"text{folder}", lambda: star_graph(spark, folder, edges(spark, folder), text_paths=True), sites=False)
+    return stored_once(
+        spark, f"text{folder}", lambda: star_graph(spark, folder, edges(spark, folder), text_paths=True), site_buckets=TEST_BUCKETS,
+    )
+
+
+def wide_graph(spark, folder):
+    """The merged graph with one document per customer, so that files have many symbols."""
+    def build():
+        graph = merged_graph(spark, folder)
+        owner = table(spark, folder, "orders").select(F.col("o_orderkey").alias("doc_id"), F.col("o_custkey").alias("_owner"))
+        moved = lambda df: df.join(owner, "doc_id").withColumn("doc_id", F.col("_owner")).select(*df.columns)
+        path = F.concat("source", F.lit("/customer_"), F.col("doc_id").cast("string"), F.lit(".go"))
+        documents = moved(graph.documents).select("source", "doc_id").distinct().withColumn("relative_path", path)
+        return graph.with_tables(documents=documents, chunks=moved(graph.chunks), definition_ranges=moved(graph.definition_ranges))
+
+    return stored_once(spark, f"wide{folder}", build, site_buckets=TEST_BUCKETS)
 
 
 def text_lines(spark, folder):

@@ -137,7 +137,30 @@ SELECT query_id, display_name, count(*) AS n_occurrences, string_agg(file || ':'
 FROM found GROUP BY query_id, display_name""")
 def _(spark, folder):
     found = lookup.find_references(merged_graph(spark, folder), rows(spark, "name", NAMES), limit=MAX_RESULTS, cap=MAX_RESULTS)
-    return reports.references_by_name(found).withColumn("locations", F.array_join("locations", ", "))
+    return reports.references_by_name(found, MAX_RESULTS).withColumn("locations", F.array_join("locations", ", "))
+
+
+@register("find_references_with_defs_all", f"{_references_sql(_BATCH_ALL, 'x.role <> 0', None)} SELECT {_FOUND} FROM found")
+def _(spark, folder):
+    found = lookup.find_references(merged_graph(spark, folder), batch_names(spark, folder), include_definition=True)
+    return found.select(*_FOUND.split(", "))
+
+
+@register("find_references_any_role_all", f"{_references_sql(_BATCH_ALL, '(x.role & 1) = 0', None)} SELECT {_FOUND} FROM found")
+def _(spark, folder):
+    return lookup.find_references(merged_graph(spark, folder), batch_names(spark, folder), role_policy="scip").select(*_FOUND.split(", "))
+
+
+@register("references_by_name_all", f"""{_references_sql(_BATCH_ALL, _REFERENCE, None)}
+SELECT query_id, display_name, file || ':' || CAST(start_line AS VARCHAR) || '-' || CAST(end_line AS VARCHAR) AS location FROM found""")
+def _(spark, folder):
+    return reports.references_by_name(lookup.find_references(merged_graph(spark, folder), batch_names(spark, folder)))
+
+
+@register("reference_site_counts_all", f"""{_references_sql(_BATCH_ALL, _REFERENCE, None)}
+SELECT query_id, count(DISTINCT file || ':' || CAST(start_line AS VARCHAR)) AS n_sites FROM found GROUP BY query_id""")
+def _(spark, folder):
+    return grep.reference_site_counts(lookup.find_references(merged_graph(spark, folder), batch_names(spark, folder)))
 
 
 @register("capped_queries", f"""{_references_sql(_BASE, _REFERENCE, 50)}
@@ -189,6 +212,12 @@ def _(spark, folder):
     return lookup.find_implementations(merged_graph(spark, folder), batch_names(spark, folder), by_key=True, limit=MAX_RESULTS, cap=MAX_RESULTS)
 
 
+@register("find_implementations_by_key_all", _implementations_sql(
+    _BATCH_ALL, f"{sql.KEY.format('r.target', repr(''))} = {sql.KEY.format('m.symbol', repr(''))}", 1 << 60))
+def _(spark, folder):
+    return lookup.find_implementations(merged_graph(spark, folder), batch_names(spark, folder), by_key=True)
+
+
 @register("relationships", f"""{sql.MERGED}, {_MREL}
 SELECT symbol_source, symbol_id, symbol, target, is_reference, is_implementation FROM mrel""")
 def _(spark, folder):
@@ -206,14 +235,17 @@ def _hits(tokens):
     return " + ".join(f"CAST(regexp_matches(names, '(^|[^a-z0-9]){t}') AS INTEGER)" for t in tokens)
 
 
-_FLOW = f"""{_references_sql(f"{sql.MERGED}, {sql.values('name', MESSAGES)}, {sql.matched()}", "x.role <> 0", 60)},
+def _flow_sql(cap, limit, near):
+    base = f"{sql.MERGED}, {sql.values('name', MESSAGES)}, {sql.matched(cap=cap)}"
+    cut = "" if near is None else f"WHERE k <= {near}"
+    return f"""{_references_sql(base, "x.role <> 0", limit)},
 near AS (
   SELECT p.file, p.line, s.symbol, row_number() OVER (PARTITION BY p.file, p.line ORDER BY s.symbol) AS k
   FROM (SELECT DISTINCT file, start_line AS line FROM found) p
   JOIN (SELECT DISTINCT file, start_line, end_line, symbol FROM sites) s
     ON s.file = p.file AND s.start_line <= p.line AND s.end_line >= p.line),
 names AS (SELECT file, line, lower(string_agg({sql.display('symbol')}, ' ' ORDER BY symbol)) AS names
-  FROM (SELECT DISTINCT file, line, symbol, k FROM near) WHERE k <= 50 GROUP BY file, line),
+  FROM (SELECT DISTINCT file, line, symbol, k FROM near) {cut} GROUP BY file, line),
 scored AS (
   SELECT f.*, lower(f.file) AS p, {_hits(("red", "blue"))} AS prod, {_hits(("small", "large"))} AS cons
   FROM found f JOIN names n ON n.file = f.file AND n.line = f.start_line),
@@ -229,6 +261,9 @@ flow AS (
   FROM scored)"""
 
 
+_FLOW, _FLOW_ALL = _flow_sql(50, 60, 50), _flow_sql(None, None, None)
+
+
 def _flow(spark, folder):
     return eventflow.event_flow_sites(merged_graph(spark, folder), rows(spark, "name", MESSAGES), _RULES, limit=EVENT_FLOW_LIMIT, per_site=MAX_RESULTS, cap=MAX_RESULTS)
 
@@ -239,11 +274,34 @@ def _(spark, folder):
     return _flow(spark, folder)
 
 
+def _whole_flow(spark, folder):
+    return eventflow.event_flow_sites(merged_graph(spark, folder), rows(spark, "name", MESSAGES), _RULES)
+
+
+@register("event_flow_sites_all", f"""{_FLOW_ALL} SELECT query_id, name, symbol, display_name, file, start_line, end_line, flow_role, repo,
+  location FROM flow""")
+def _(spark, folder):
+    return _whole_flow(spark, folder)
+
+
+@register("event_flow_by_repo_all", f"""{_FLOW_ALL}
+SELECT query_id, CASE WHEN flow_role IN ('producer', 'consumer') THEN flow_role ELSE 'other' END AS role_group, repo,
+  count(*) AS n_sites FROM flow GROUP BY ALL""")
+def _(spark, folder):
+    return eventflow.event_flow_by_repo(_whole_flow(spark, folder))
+
+
+@register("event_flow_repos_all", f"""{_FLOW_ALL}
+SELECT DISTINCT query_id, flow_role, repo FROM flow WHERE flow_role IN ('producer', 'consumer')""")
+def _(spark, folder):
+    return eventflow.event_flow_repos(_whole_flow(spark, folder))
+
+
 @register("event_flow_by_repo", f"""{_FLOW}
 SELECT query_id, CASE WHEN flow_role IN ('producer', 'consumer') THEN flow_role ELSE 'other' END AS role_group, repo,
   count(*) AS n_sites, string_agg(location, ', ' ORDER BY location) AS locations FROM flow GROUP BY ALL""")
 def _(spark, folder):
-    return eventflow.event_flow_by_repo(_flow(spark, folder)).withColumn("locations", F.array_join("locations", ", "))
+    return eventflow.event_flow_by_repo(_flow(spark, folder), EVENT_FLOW_LIMIT).withColumn("locations", F.array_join("locations", ", "))
 
 
 @register("event_flow_summary", f"""{_FLOW}, sides AS (
@@ -322,6 +380,25 @@ def _(spark, folder):
     return grep.window_lines(grep.reference_windows(found), lines).select(*_SHOWN)
 
 
+_TEXT_ALL = f"{sql.RAW_TEXT}, {_TEXT_SITES}, {_RAW_SYMBOLS}, {sql.BATCH_NAMES}, {sql.matched('rawsym', cap=None)}"
+
+
+@register("grep_definition_body_all", _window_sql(f"""{_TEXT_ALL}, {_DEFINITIONS}, windows AS (
+  SELECT query_id, symbol, source, file, start_line, end_line, start_line AS first_line, end_line AS last_line,
+    false AS truncated FROM numbered)"""))
+def _(spark, folder):
+    found = lookup.find_definitions(text_graph(spark, folder), batch_names(spark, folder))
+    return grep.window_lines(grep.definition_bodies(found), text_lines(spark, folder)).select(*_SHOWN)
+
+
+@register("grep_reference_windows_all", _window_sql(f"""{_references_sql(_TEXT_ALL, _REFERENCE, None)}, windows AS (
+  SELECT query_id, symbol, source, file, start_line, end_line, start_line - 3 AS first_line, end_line + 3 AS last_line,
+    false AS truncated FROM found)"""))
+def _(spark, folder):
+    found = lookup.find_references(text_graph(spark, folder), batch_names(spark, folder))
+    return grep.window_lines(grep.reference_windows(found), text_lines(spark, folder)).select(*_SHOWN)
+
+
 _PARTS = f"""{_references_sql(f"{_TEXT_BASE}, {_DEFINITIONS.replace('numbered AS', 'numbered_defs AS')}", _REFERENCE, 15)},
 windows AS (
   SELECT DISTINCT query_id, symbol, source, file, start_line, end_line, start_char, start_line AS first_line,
@@ -336,6 +413,15 @@ FROM windows w LEFT JOIN all_lines l ON l.source = w.source AND l.file = w.file
 GROUP BY w.query_id, w.part"""
 
 
+@register("grep_symbols_all", _PARTS.replace(_TEXT_BASE, _TEXT_ALL).replace("WHERE rn <= 50", "").replace("WHERE rn <= 15", "").replace(
+    "CASE WHEN end_line - start_line + 1 > 120 THEN start_line + 119 ELSE end_line END", "end_line"))
+def _(spark, folder):
+    shown = grep.grep_symbols(text_graph(spark, folder), batch_names(spark, folder), text_lines(spark, folder), context=GREP_MAX_CONTEXT)
+    return shown.groupBy("query_id", "part").agg(
+        F.count("line").alias("n_lines"), F.coalesce(F.sum(F.length("line")), F.lit(0)).alias("n_chars"),
+    )
+
+
 @register("grep_symbols", _PARTS)
 def _(spark, folder):
     lines = text_lines(spark, folder)

@@ -16,4 +16,4 @@ def register(name, sql=None):
     return keep
 
 
-from . import expressions, files, ingest, lookups, merging, sources  # noqa: E402,F401
+from . import expressions, files, ingest, lookups, merging, sources, stored  # noqa: E402,F401

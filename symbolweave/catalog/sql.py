@@ -94,6 +94,17 @@ rsites AS (
 MERGED = f"{RAW}, {_MERGED}"
 
 
+# The merged graph with one document per customer, which holds all lines of all orders: files with many symbols.
+WIDE = f"""{MERGED}, wdocs AS (
+  SELECT DISTINCT {REPO} AS source, o_custkey AS doc_id, {REPO} || '/customer_' || CAST(o_custkey AS VARCHAR) || '.go' AS relative_path
+  FROM orders),
+wsites AS (
+  SELECT m.source, m.symbol_source, m.symbol_id, s.symbol, m.role, d.relative_path AS file, c.start_line, c.end_line
+  FROM mment m JOIN chunks c ON c.source = m.source AND c.chunk_id = m.chunk_id
+  JOIN orders o ON o.o_orderkey = c.doc_id JOIN wdocs d ON d.doc_id = o.o_custkey
+  JOIN msym s ON s.symbol_source = m.symbol_source AND s.symbol_id = m.symbol_id)"""
+
+
 def values(column, items):
     rows = ", ".join(f"('{item}', '{item}')" for item in items)
     return f"asked(query_id, {column}) AS (VALUES {rows})"

@@ -1,6 +1,5 @@
 """Classification of message-type references as producer or consumer sites."""
 
-import json
 import re
 from dataclasses import dataclass
 
@@ -21,25 +20,9 @@ class Recognizers:
     consume_paths: tuple = _DEFAULT["consume_paths"]
     definition_markers: tuple = _DEFAULT["definition_markers"]
 
-    @classmethod
-    def from_json(cls, raw):
-        """Parse a configuration text; any unusable part keeps its default."""
-        try:
-            given = json.loads(raw or "{}")
-        except ValueError:
-            return cls()
-        if not isinstance(given, dict):
-            return cls()
-        usable = {
-            key: tuple(token.lower() for token in given[key])
-            for key in _DEFAULT
-            if isinstance(given.get(key), list) and all(isinstance(token, str) for token in given[key])
-        }
-        return cls(**usable)
-
 
 def recognizers_from_json(raw: Column) -> Column:
-    """The same rule as a column, for configurations that live in a table."""
+    """Token lists from a configuration text; any unusable part keeps its default."""
     doc = F.try_parse_json(raw)
     fields = []
     for key, default in _DEFAULT.items():
@@ -78,16 +61,10 @@ def _contains_any(value, fragments):
     return found
 
 
-def classify_site(path: Column, co_names: Column, rec) -> Column:
-    """Role of a reference site.
-
-    ``co_names`` are the display names found in the same chunk and are the main evidence;
-    directory names decide only a tie. ``rec`` is ``Recognizers`` or a struct column.
-    """
+def classify_counts(path: Column, produced: Column, consumed: Column, rec) -> Column:
+    """Role of a reference site from the tokens of each side found there; directory names decide only a tie."""
     get = (lambda key: rec[key]) if isinstance(rec, Column) else (lambda key: getattr(rec, key))
     where = F.lower(F.coalesce(path, F.lit("")))
-    blob = F.lower(F.array_join(co_names, " "))
-    produced, consumed = token_hits(blob, get("produce")), token_hits(blob, get("consume"))
     return (
         F.when(_contains_any(where, get("definition_markers")), DEFINITION)
         .when(consumed > produced, CONSUMER)
@@ -96,3 +73,22 @@ def classify_site(path: Column, co_names: Column, rec) -> Column:
         .when(_contains_any(where, get("produce_paths")), PRODUCER)
         .otherwise(UNKNOWN)
     )
+
+
+def classify_site(path: Column, co_names: Column, rec) -> Column:
+    """Role of a reference site from the display names found in the same chunk.
+
+    ``rec`` is ``Recognizers`` or a struct column.
+    """
+    get = (lambda key: rec[key]) if isinstance(rec, Column) else (lambda key: getattr(rec, key))
+    blob = F.lower(F.array_join(co_names, " "))
+    return classify_counts(path, token_hits(blob, get("produce")), token_hits(blob, get("consume")), rec)
+
+
+def tokens_found(name: Column, tokens) -> Column:
+    """How many tokens start a word in some name of a group: an aggregate of one flag per token, no list of names."""
+    total = F.lit(0)
+    for token in tokens:
+        hit = F.max(F.lower(name).rlike("(?<![a-z0-9])" + re.escape(token)))
+        total = total + F.coalesce(hit, F.lit(False)).cast("int")
+    return total

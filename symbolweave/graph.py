@@ -28,7 +28,7 @@ class CodeGraph:
     ``merged`` says that every moniker occurs in one symbol row only. ``stored_sites`` is
     the edge table written by ``write_graph``, ``stored_file_sites`` the same edges by file
     and ``stored_definitions`` the definition ranges; without them the joins are made on
-    demand.
+    demand. ``indexes`` are the stored tables of ``sources.indexes``, if there are any.
     """
 
     documents: DataFrame
@@ -41,6 +41,7 @@ class CodeGraph:
     stored_definitions: DataFrame | None = None
     stored_file_sites: DataFrame | None = None
     site_buckets: int = SITE_BUCKETS
+    indexes: object | None = None
 
     def tables(self):
         return {
@@ -49,7 +50,7 @@ class CodeGraph:
         }
 
     def with_tables(self, **changes):
-        return replace(self, stored_sites=None, stored_definitions=None, stored_file_sites=None, **changes)
+        return replace(self, stored_sites=None, stored_definitions=None, stored_file_sites=None, indexes=None, **changes)
 
     def sites(self) -> DataFrame:
         """Every mention with its file, line range and moniker (JOIN of the four tables)."""

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import monikers, ranges, roles
 from ..graph import SYMBOL_KEY, CodeGraph, file_bucket
-from ..plans.rangejoin import add_line_buckets, line_bucket
+from ..plans.rangejoin import add_interval_buckets, add_point_buckets
 from ..plans.ranking import top_per_key
 from ..plans.sizing import hinted, profile
 from .matching import match_prefix
@@ -26,7 +26,9 @@ def _file_edges(graph):
 
 def list_symbols(graph: CodeGraph, scopes: DataFrame, limit=None, boundary=False) -> DataFrame:
     """Definition ranges in documents under a path prefix. Empty scopes give nothing."""
-    if graph.stored_definitions is not None:
+    if graph.indexes is not None:
+        located = match_prefix(graph.indexes.paths, "relative_path", scopes, boundary=boundary, splits=graph.indexes.path_splits)
+    elif graph.stored_definitions is not None:
         located = match_prefix(graph.stored_definitions, "relative_path", scopes, boundary=boundary)
     else:
         documents = graph.documents.select("source", "doc_id", "relative_path")
@@ -64,25 +66,27 @@ def get_imports(graph: CodeGraph, files: DataFrame, limit=None, role_policy="str
     return _with_name(top_per_key(distinct, ["query_id"], [F.col("symbol")], limit))
 
 
-def symbols_at(graph: CodeGraph, positions: DataFrame, limit=None) -> DataFrame:
+def symbols_at(graph: CodeGraph, positions: DataFrame, limit=None, measure=True) -> DataFrame:
     """Distinct symbols, in any role, of the chunks that contain a line.
 
-    File and line bucket are the join key, so a file with most of the chunks, or most of
-    the positions, is spread over its buckets and no other pairs are formed.
+    A chunk lies in one or two buckets of the level that fits its length, a line in one bucket of every level; file,
+    level and bucket are the join key. So a file with most of the chunks, or of the positions, is spread, a chunk of a
+    million lines is two rows, and no other pairs are formed. ``measure=False`` leaves the choice of a broadcast to the
+    adaptive planner, for positions that are dear to compute.
     """
-    asked = _asked_files(graph, positions).withColumn("_bucket", line_bucket(F.col("line")))
-    asked = hinted(asked, profile(positions).small)
+    asked = add_point_buckets(_asked_files(graph, positions), F.col("line"))
+    asked = hinted(asked, measure and profile(positions).small)
     within = ranges.line_in_chunk(F.col("line"), F.col("start_line"), F.col("end_line"))
     if graph.stored_file_sites is not None:
-        spans = add_line_buckets(_file_edges(graph), F.col("start_line"), F.col("end_line"))
-        hits = spans.join(asked, ["file_bucket", "file", "_bucket"]).filter(within)
+        spans = add_interval_buckets(_file_edges(graph), F.col("start_line"), F.col("end_line"))
+        hits = spans.join(asked, ["file_bucket", "file", "_level", "_bucket"]).filter(within)
         distinct = hits.select("query_id", "file", "line", "symbol").distinct()
     else:
         chunks = graph.chunks.select("source", "doc_id", "chunk_id", "start_line", "end_line")
         paths = graph.documents.select("source", "doc_id", F.col("relative_path").alias("file"))
-        spans = add_line_buckets(chunks.join(paths, ["source", "doc_id"]), F.col("start_line"), F.col("end_line"))
+        spans = add_interval_buckets(chunks.join(paths, ["source", "doc_id"]), F.col("start_line"), F.col("end_line"))
         hits = (
-            spans.join(asked, ["file", "_bucket"]).filter(within)
+            spans.join(asked, ["file", "_level", "_bucket"]).filter(within)
             .select("query_id", "file", "line", "source", "chunk_id")
             .join(graph.mentions.select("source", "chunk_id", *SYMBOL_KEY).distinct(), ["source", "chunk_id"])
             .select("query_id", "file", "line", *SYMBOL_KEY).distinct()

@@ -7,7 +7,8 @@ from ..functions import monikers, ranges, roles
 from ..graph import SYMBOL_KEY, CodeGraph
 from ..plans.ranking import top_per_key
 from ..plans.sizing import BROADCAST_ROWS, hinted
-from .matching import match_substring
+from ..sources.indexes import bucket_of, target_key
+from .matching import match_indexed, match_names, match_substring
 
 MATCH_KEYS = ["query_id", *SYMBOL_KEY, "is_exact", "length_rank"]
 LOCATION = ["file", "start_line", "end_line", "start_char", "end_char"]
@@ -15,8 +16,12 @@ LOCATION = ["file", "start_line", "end_line", "start_char", "end_char"]
 
 def _match(graph, queries, match, cap, exact_first):
     """Matched symbol rows and the measured number of queries."""
-    texts = graph.symbols.select(*SYMBOL_KEY, "symbol")
-    pairs, asked = match_substring(texts, "symbol", queries, match=match)
+    if match == "exact":
+        pairs, asked = match_names(graph, queries)
+    elif graph.indexes is not None:
+        pairs, asked = match_indexed(graph, queries, match=match)
+    else:
+        pairs, asked = match_substring(graph.symbols.select(*SYMBOL_KEY, "symbol"), "symbol", queries, match=match)
     shown = monikers.display_name(F.col("symbol"))
     exact = shown == F.col("name")
     by_length = [F.length("symbol"), F.col("symbol")]
@@ -31,6 +36,7 @@ def _match(graph, queries, match, cap, exact_first):
 def matched_symbols(graph: CodeGraph, queries: DataFrame, match="like", cap=None, exact_first=False):
     """Symbol rows per query, all of them unless a cap of distinct monikers, shortest first, is given.
 
+    ``match`` is ``like`` (``%`` and ``_`` are wildcards), ``literal`` or ``exact`` (the display name as it is).
     The cap is applied before exact names are moved to the front, so an exact
     name can fall outside it; ``exact_first`` ranks exact names before the cap.
     """
@@ -48,14 +54,26 @@ def resolve_symbols(graph: CodeGraph, queries: DataFrame, match="like", cap=None
     return distinct.select(*columns, F.dense_rank().over(window).alias("rank"))
 
 
-def _match_keys(graph, matched, n_queries, cap):
+def resolve_exact(graph: CodeGraph, names) -> DataFrame:
+    """Symbols with one of a few given display names, as a plain filter of the stored names.
+
+    The names are literals, so partitions are left out when the query is planned and row groups by their bloom filters.
+    """
+    if graph.indexes is None:
+        return graph.named_symbols().filter(F.col("display_name").isin(list(names)))
+    buckets = [bucket_of(F.lit(n), graph.indexes.buckets) for n in names]
+    found = graph.indexes.names.filter(F.col("name_bucket").isin(buckets) & F.col("display_name").isin(list(names)))
+    return found.select(*SYMBOL_KEY, "symbol", "display_name")
+
+
+def _match_keys(graph, matched, n_queries, cap, extra=()):
     """Keys of the matched symbols, broadcast when their number is bounded and small.
 
     In a merged graph a query holds at most ``cap`` keys, and the queries are counted, so
     the bound is known before the job runs.
     """
     bounded = graph.merged and cap is not None and n_queries * cap <= BROADCAST_ROWS
-    return hinted(matched.select(*MATCH_KEYS), bounded)
+    return hinted(matched.select(*MATCH_KEYS, *extra), bounded)
 
 
 def _with_symbols(located, matched, limit, order):
@@ -91,17 +109,19 @@ def find_definitions(
 ) -> DataFrame:
     """Definition sites: precise ranges, or defining chunks for monikers without any range."""
     matched, n_queries = _match(graph, queries, match, cap, exact_first)
-    keys = _match_keys(graph, matched, n_queries, cap)
+    # Without a cap the rank is the moniker's length; beside sources that are not merged its hash tells monikers apart.
+    moniker = [] if cap is not None or graph.merged else [F.xxhash64("symbol").alias("_moniker")]
+    keys = _match_keys(graph, matched, n_queries, cap, moniker)
     precise = graph.range_sites(keys)
     fallback = _chunk_locations(graph.mention_sites(keys, lambda role: roles.is_definition_role(role, bitwise)))
-    columns = [*MATCH_KEYS, "source", "relative_path", "start_line", "end_line", "start_char", "end_char"]
+    columns = [*MATCH_KEYS, *(["_moniker"] if moniker else []), "source", "relative_path", "start_line", "end_line", "start_char", "end_char"]
     both = precise.select(*columns, F.lit(True).alias("precise")).unionByName(
         fallback.select(*columns, F.lit(False).alias("precise")),
     )
     # A moniker with a precise range takes no fallback rows. With a limit each branch is cut
     # first - rows of one moniker past the limit can never be returned - and what is left
     # per moniker is small enough for a window; without one an anti join keeps both whole.
-    per_symbol = ["query_id", "length_rank"] if cap is not None else ["query_id", *SYMBOL_KEY]
+    per_symbol = ["query_id", "length_rank"] if cap is not None else ["query_id", *SYMBOL_KEY] if graph.merged else ["query_id", "_moniker"]
     if limit is None:
         ranged = precise.select(*per_symbol).distinct()
         kept = precise.select(*columns).unionByName(fallback.join(ranged, per_symbol, "left_anti").select(*columns))
@@ -136,13 +156,20 @@ def find_implementations(
     """
     asked = queries.filter(F.col("name") != "")
     matched, n_queries = _match(graph, asked, match, cap, exact_first)
-    identity = (lambda column: monikers.dedup_key(column, F.lit(""))) if by_key else (lambda column: column)
     bounded = graph.merged and cap is not None and n_queries * cap <= BROADCAST_ROWS
-    targets = matched.select("query_id", "name", identity(F.col("symbol")).alias("target")).distinct()
-    edges = graph.relationships().filter("is_implementation").select(
-        *SYMBOL_KEY, "symbol", identity(F.col("target")).alias("target"),
-    )
-    implementors = edges.join(hinted(targets, bounded), "target").dropDuplicates(["query_id", *SYMBOL_KEY])
+    # What has one raw moniker has one key, so the key leads to the stored relationships in both cases.
+    target = [] if by_key else ["target"]
+    targets = matched.select(
+        "query_id", "name", F.col("symbol").alias("target"), target_key(F.col("symbol")).alias("target_key"),
+    ).select("query_id", "name", "target_key", *target).distinct()
+    keys = ["target_key", *target]
+    if graph.indexes is not None:
+        targets = targets.withColumn("target_bucket", bucket_of(F.col("target_key"), graph.indexes.buckets))
+        edges, keys = graph.indexes.targets, ["target_bucket", *keys]
+    else:
+        edges = graph.relationships().withColumn("target_key", target_key(F.col("target")))
+    edges = edges.filter("is_implementation").select(*SYMBOL_KEY, "symbol", *keys)
+    implementors = edges.join(hinted(targets, bounded), keys).dropDuplicates(["query_id", *SYMBOL_KEY])
 
     # First site per symbol is found once per symbol, whatever number of queries asks for it.
     asked_keys = implementors.select(*SYMBOL_KEY).distinct()

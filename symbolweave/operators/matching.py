@@ -9,7 +9,9 @@ patterns meet on a leading piece in the same way.
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import text
+from ..graph import SYMBOL_KEY
 from ..plans.sizing import hinted, profile
+from ..sources.indexes import bucket_of, grams_of, parts_of_prefix
 
 GRAM_LENGTHS = (0, 1, 2, 3, 5, 8, 12)
 PREFIX_LENGTHS = (0, 1, 2, 4, 8, 12, 16, 24, 32, 48, 64, 96, 128)
@@ -82,8 +84,64 @@ def match_substring(texts: DataFrame, column: str, queries: DataFrame, name="nam
     return pairs, stats
 
 
-def match_prefix(texts: DataFrame, column: str, queries: DataFrame, scope="scope", boundary=False) -> DataFrame:
-    """Pairs of text rows and queries whose scope is a prefix of ``column``."""
+def match_indexed(graph, queries: DataFrame, name="name", match="like"):
+    """The pairs of ``match_substring`` from a graph's stored pieces, and the measured number of queries.
+
+    Every literal run of a name is cut into pieces; of those the rarest, by the stored counts, is looked up in its
+    partition, and a name with a piece that no moniker holds is done. The symbols found are joined to their monikers
+    last and checked with the full pattern. Names without a run of a piece's length read all monikers, as without an index.
+    """
+    if match not in ("like", "literal"):
+        raise ValueError(f"match must be 'like' or 'literal', got {match!r}")
+    indexes = graph.indexes
+    lowered = text.ascii_lower(F.col(name))
+    runs = F.split(lowered, "[%_]", -1) if match == "like" else F.array(lowered)
+    pieces = F.array_distinct(F.flatten(F.transform(runs, grams_of)))
+    asked = queries.filter(F.col(name).isNotNull()).withColumn("_pieces", pieces).withColumn("_short", F.size("_pieces") == 0)
+    stats = profile(asked.drop("_pieces"), "_short")
+    texts = graph.symbols.select(*SYMBOL_KEY, "symbol")
+    found = None
+    if True in stats.classes:
+        found, _ = match_substring(texts, "symbol", asked.filter("_short").select(*queries.columns), name, match)
+    if False in stats.classes or found is None:
+        names = asked.filter(~F.col("_short")).select(F.col(name).alias("_name"), "_pieces").distinct()
+        spread = names.select("_name", F.explode("_pieces").alias("gram")).withColumn("gram_bucket", bucket_of(F.col("gram"), indexes.buckets))
+        counted = indexes.gram_counts.join(hinted(spread, stats.small), ["gram_bucket", "gram"], "right")
+        rarest = counted.groupBy("_name").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram", "gram_bucket")).alias("r"))
+        probes = rarest.filter("r.n > 0").select("_name", "r.gram", "r.gram_bucket")
+        held = indexes.grams.join(hinted(probes, stats.small), ["gram_bucket", "gram"]).select("_name", *SYMBOL_KEY)
+        pairs = held.join(texts, SYMBOL_KEY).filter(_accepts(F.col("symbol"), F.col("_name"), match))
+        whole = queries.join(pairs.withColumnRenamed("_name", name), name).select(
+            *texts.columns, *[c for c in queries.columns if c not in texts.columns],
+        )
+        found = whole if found is None else found.unionByName(whole)
+    return found, stats
+
+
+def match_names(graph, queries: DataFrame, name="name"):
+    """Pairs of symbols and queries whose name is exactly the display name, and the measured number of queries.
+
+    With the stored names only the partitions of the names asked for are read.
+    """
+    stats = profile(queries)
+    small = hinted(queries.filter(F.col(name).isNotNull()), stats.small)
+    if graph.indexes is None:
+        named = graph.named_symbols()
+        pairs = named.join(small, named["display_name"] == small[name])
+    else:
+        asked = small.withColumn("name_bucket", bucket_of(F.col(name), graph.indexes.buckets))
+        named = graph.indexes.names.withColumnRenamed("name_bucket", "_bucket")
+        pairs = named.join(asked, (named["_bucket"] == asked["name_bucket"]) & (named["display_name"] == asked[name]))
+    columns = [*SYMBOL_KEY, "symbol"]
+    return pairs.select(*columns, *[c for c in queries.columns if c not in columns]), stats
+
+
+def match_prefix(texts: DataFrame, column: str, queries: DataFrame, scope="scope", boundary=False, splits=None) -> DataFrame:
+    """Pairs of text rows and queries whose scope is a prefix of ``column``.
+
+    ``splits`` are those of a table in the order of ``column`` with a ``path_part``: then only the parts that can hold
+    the literal start of a scope are read.
+    """
     stem = F.rtrim(F.col(scope), F.lit("/"))
     literal = F.element_at(F.split(text.ascii_lower(stem), "[%_]", -1), 1)
     patterns = (
@@ -97,6 +155,10 @@ def match_prefix(texts: DataFrame, column: str, queries: DataFrame, scope="scope
         "_lead", F.substring(text.ascii_lower(F.col(column)), F.lit(1), F.col("_class")),
     )
     keys = ["_class", "_lead"]
+    if splits is not None:
+        # Saying that parts count from zero tells the planner that those asked for are worth selecting.
+        patterns = patterns.withColumn("path_part", F.explode(parts_of_prefix(splits, literal))).filter("path_part >= 0")
+        keys = ["path_part", *keys]
     if not stats.small:
         spread = spread.withColumn("_salt", F.pmod(F.xxhash64(column), F.lit(GRAM_SALTS)).cast("int"))
         patterns = patterns.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(GRAM_SALTS - 1))))

@@ -69,6 +69,32 @@ def merge_sources(graph: CodeGraph, position: Column | None = None) -> CodeGraph
     ))
 
 
+def merge_labelled(graph: CodeGraph) -> CodeGraph:
+    """Merge tables that carry the ``_label`` and ``_position`` of the source graph of each row.
+
+    Ids get the scope of their label as in ``merge_graphs``, by expressions, so the plan does not grow with the sources.
+    """
+    def scoped(df, *columns):
+        for name in columns:
+            own = F.coalesce(F.col(name), F.lit(""))
+            joined = F.when(own == "", F.col("_label")).when(own == F.col("_label"), own)
+            df = df.withColumn(name, F.when(F.col("_label") == "", own).otherwise(joined.otherwise(F.concat_ws("/", "_label", own))))
+        return df
+
+    plain = F.coalesce("source", F.lit(""))
+    both = graph.documents.filter("_label <> ''").groupBy("_label").agg(
+        F.max(plain == "").alias("unnamed"), F.max(plain == F.col("_label")).alias("named"),
+    ).filter("unnamed AND named").select("_label").take(1)
+    if both:
+        raise ValueError(f"the graph labelled {both[0][0]!r} holds both an unnamed source and one of that name")
+    return _unify(CodeGraph(
+        documents=scoped(graph.documents, "source"), symbols=scoped(graph.symbols, "symbol_source"),
+        chunks=scoped(graph.chunks, "source").drop("_label", "_position"),
+        mentions=scoped(graph.mentions, "source", "symbol_source").drop("_label", "_position"),
+        definition_ranges=scoped(graph.definition_ranges, "source", "symbol_source").drop("_label", "_position"),
+    ))
+
+
 def keyed_symbols(symbols: DataFrame) -> DataFrame:
     """Symbols with their identity key. Null monikers cannot be unified and are left out."""
     return symbols.filter(F.col("symbol").isNotNull()).withColumn(

@@ -87,6 +87,93 @@ def k8s_objects(spark, folder):
     return secrets.unionByName(accounts).unionByName(workloads)
 
 
+ACCESS_KINDS = (
+    "RoleBinding", "RoleBinding", "ClusterRoleBinding", "ClusterRoleBinding", "Ingress", "DaemonSet", "ReplicaSet", "Job",
+)
+
+
+def access_objects(spark, folder):
+    """Bindings, ingresses and pod templates from orders: every branch of the reference rules.
+
+    Roles come with a kind, without one, or not at all; services of an ingress come from its line items, and every other
+    ingress has a default one.
+    """
+    key = F.col("o_orderkey")
+    account = _name("account-", "o_custkey")
+    lines = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.array_sort(F.collect_list(F.struct("l_linenumber", _name("service-", "l_suppkey").alias("name")))).alias("services"),
+    )
+    orders = table(spark, folder, "orders").join(lines, "o_orderkey", "left")
+    nth = (key % 8).cast("int")
+    kind = F.element_at(F.array(*[F.lit(k) for k in ACCESS_KINDS]), nth + 1)
+    only = lambda condition, value: F.when(condition, value)
+    role = F.struct(
+        F.when(nth.isin(1, 2), "ClusterRole").when(nth == 3, "").alias("kind"), _name("role-", "o_custkey").alias("name"),
+    )
+    backend = lambda s: F.struct(F.struct(F.struct(s["name"].alias("name")).alias("service")).alias("backend"))
+    rules = F.array(
+        F.struct(F.struct(F.transform(F.col("services"), backend).alias("paths")).alias("http")),
+        F.struct(F.lit(None).cast("struct<paths:array<struct<backend:struct<service:struct<name:string>>>>>").alias("http")),
+    )
+    spec = F.struct(
+        only(nth >= 5, F.struct(F.struct(account.alias("serviceAccountName")).alias("spec"))).alias("template"),
+        only((nth == 4) & F.col("services").isNotNull(), rules).alias("rules"),
+        only((nth == 4) & (key % 16 == 4), F.struct(F.struct(F.lit("fallback").alias("name")).alias("service"))).alias("defaultBackend"),
+    )
+    manifest = F.to_json(F.struct(
+        kind.alias("kind"), F.struct(_name("access-", "o_orderkey").alias("name"), _namespace("o_custkey").alias("namespace")).alias("metadata"),
+        only((nth < 4) & (key % 24 != 0), role).alias("roleRef"), spec.alias("spec"),
+    ))
+    return orders.select(repository().alias("source"), F.lit("access").alias("root"), key.alias("object_index"), manifest.alias("manifest"))
+
+
+def enum_tables(edges):
+    """Schema files with enums beside their messages, which fields of the messages name."""
+    lines = edges.select("source", "doc_id", "l_linenumber").distinct()
+    file = F.concat(F.lit("enums/order_"), F.col("doc_id").cast("string"), F.lit(".proto"))
+    n = (F.col("l_linenumber") - 1).cast("int")
+    named = lambda prefix: F.concat(F.lit(prefix), F.col("l_linenumber").cast("string"))
+
+    def decl(path, kind, name, field_type=None, type_name=None):
+        none = F.lit(None).cast("string")
+        return F.struct(
+            F.array(*[F.lit(p) if isinstance(p, int) else p for p in path]).alias("path"), F.lit(kind).alias("kind"),
+            name.alias("name"), F.lit(field_type).cast("int").alias("field_type"),
+            (none if type_name is None else type_name).alias("type_name"), none.alias("input_type"), none.alias("output_type"),
+        )
+
+    declarations = lines.select("source", file.alias("file"), F.lit(None).cast("string").alias("package"), F.explode(F.array(
+        decl([5, n], "enum", named("Mode")), decl([5, n, 2, 0], "value", F.lit("ON")), decl([4, n], "message", named("Line")),
+        decl([4, n, 2, 0], "field", F.lit("mode"), 14, named(".Mode")),
+    )).alias("d")).select("source", "file", "package", "d.*")
+    line = F.element_at("path", 2) * 20 + F.element_at("path", 1) * 3 + F.size("path")
+    spans = declarations.select("source", "file", "path", F.explode(F.array(F.lit(1), F.lit(6))).alias("step")).select(
+        "source", "file", F.concat("path", F.array("step")).alias("path"), F.array(line, F.col("step"), F.col("step") + 4).alias("span"),
+    )
+    return declarations, spans
+
+
+def nested_responses(spark, folder):
+    """One file per order whose symbols nest up to 14 levels, some 200; the innermost of even orders is a flat one with a location."""
+    depth = F.when(F.col("o_orderkey") % 1000 == 0, 200).otherwise(F.col("o_orderkey") % 14 + 1).cast("int")
+    text = lambda c: c.cast("string")
+    span = lambda i: F.concat(
+        F.lit('{"start":{"line":'), text(i), F.lit(',"character":0},"end":{"line":'), text(i), F.lit(',"character":1}}'),
+    )
+    head = lambda i, kind: F.concat(F.lit('{"name":"attribute \\"n'), text(i), F.lit(f'\\"","kind":{kind},'))
+    inner = lambda i: F.when(
+        F.col("o_orderkey") % 2 == 0,
+        F.concat(head(i, 13), F.lit('"location":{"uri":"x","range":'), span(i + 500), F.lit('},"children":['), head(i, 8), F.lit('"range":'), span(i), F.lit("}]}")),
+    ).otherwise(F.concat(head(i, 8), F.lit('"range":'), span(i), F.lit("}")))
+    nest = F.aggregate(
+        F.sequence(depth, F.lit(1), F.lit(-1)), F.lit(""),
+        lambda below, i: F.when(below == "", inner(i)).otherwise(
+            F.concat(head(i, 8), F.lit('"range":'), span(i), F.lit(',"children":['), below, F.lit("]}"))),
+    )
+    uri = F.concat(F.lit(f"file://{TERRAFORM_ROOT}/deep/order_"), text(F.col("o_orderkey")), F.lit(".tf"))
+    return table(spark, folder, "orders").select(repository().alias("source"), uri.alias("uri"), F.concat(F.lit("["), nest, F.lit("]")).alias("symbols"))
+
+
 def proto_tables(edges):
     """One schema file per order with a message per line, a nested enum and a service."""
     lines = edges.select("source", "doc_id", "l_linenumber").distinct()

@@ -1,16 +1,19 @@
 """Graphs on disk: Parquet tables under one folder, written once and queried many times."""
 
 import hashlib
-import tempfile
+import re
 import uuid
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schema
 from ..graph import SITE_BUCKETS, SYMBOL_KEY, CodeGraph, file_bucket, symbol_bucket
-from ..operators.merge import merge_graphs
+from ..operators.merge import merge_labelled
+from ..plans.tables import shared_folder
 from . import commits
+from .indexes import read_indexes, write_indexes
 
 _LAYOUT = {
     "documents": (schema.DOCUMENTS, "source", ["source", "doc_id"]),
@@ -21,16 +24,6 @@ _LAYOUT = {
 }
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor can reach, for tables written between jobs."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="symbolweave-")
-
-
 def _write_bucketed(table, folder, column, bucket, order):
     (
         table.withColumn(column, bucket).hint("rebalance", column).sortWithinPartitions(column, *order)
@@ -39,7 +32,7 @@ def _write_bucketed(table, folder, column, bucket, order):
 
 
 def write_graph(graph: CodeGraph, folder: str, sites: bool = True, site_buckets: int = SITE_BUCKETS) -> None:
-    """Write the tables, partitioned by source, and the edge tables, partitioned by symbol or file.
+    """Write the tables, partitioned by source, and with ``sites`` the edge tables, partitioned by symbol or file, and the indexes.
 
     The rebalance hint gathers the rows of a partition into files of the advisory size: a
     source or symbol with most of the rows is split over many tasks and files, small ones
@@ -60,7 +53,7 @@ def write_graph(graph: CodeGraph, folder: str, sites: bool = True, site_buckets:
             .hint("rebalance", partition).sortWithinPartitions(*order)
             .write.mode("overwrite").partitionBy(partition).parquet(f"{folder}/{name}")
         )
-    spark = graph.documents.sparkSession
+    spark, splits = graph.documents.sparkSession, None
     if sites:
         stored = _open(spark, folder, graph.merged, False, site_buckets)
         edges = stored.sites()
@@ -71,6 +64,7 @@ def write_graph(graph: CodeGraph, folder: str, sites: bool = True, site_buckets:
         _write_bucketed(
             edges.select(*columns), f"{folder}/file_sites", "file_bucket", by_file, ["relative_path", "start_line"],
         )
+        splits = write_indexes(spark, _open(spark, folder, graph.merged, True, site_buckets), f"{folder}/indexes", site_buckets)
     try:
         number, _ = commits.latest_commit(spark, f"{pointer}/properties", "graph")
     except AnalysisException as error:
@@ -78,7 +72,7 @@ def write_graph(graph: CodeGraph, folder: str, sites: bool = True, site_buckets:
             raise
         number = 0
     commits.commit(spark, f"{pointer}/properties", "graph", number + 1, {
-        "merged": graph.merged, "sites": sites, "site_buckets": site_buckets, "version": version,
+        "merged": graph.merged, "sites": sites, "site_buckets": site_buckets, "version": version, "path_splits": splits,
     })
 
 
@@ -93,7 +87,7 @@ def load_graph(spark: SparkSession, folder: str, merged: bool | None = None, sit
     _, found = commits.latest_commit(spark, f"{folder}/properties", "graph")
     merged = found["merged"] if merged is None else merged
     sites = found["sites"] if sites is None else sites
-    return _open(spark, f"{folder}/{found['version']}", merged, sites, found["site_buckets"])
+    return _open(spark, f"{folder}/{found['version']}", merged, sites, found["site_buckets"], found["path_splits"])
 
 
 def _new_version(folder):
@@ -101,37 +95,70 @@ def _new_version(folder):
     return f"{folder}/{version}", version
 
 
-def _open(spark, folder, merged, sites, buckets):
+def _open(spark, folder, merged, sites, buckets, splits=None):
     tables = {name: _read(spark, folder, name, fields, part) for name, (fields, part, _) in _LAYOUT.items()}
     return CodeGraph(
         **tables, merged=merged, site_buckets=buckets,
         stored_sites=_read(spark, folder, "sites", schema.SITES) if sites else None,
         stored_file_sites=_read(spark, folder, "file_sites", schema.FILE_SITES) if sites else None,
         stored_definitions=_read(spark, folder, "definition_sites", schema.DEFINITION_SITES) if sites else None,
+        indexes=read_indexes(spark, f"{folder}/indexes", buckets, splits) if sites and splits is not None else None,
     )
 
 
 def existing_graphs(spark: SparkSession, sources):
-    """The ``(label, folder)`` pairs that hold a graph, opened."""
+    """``(label, folder, version, position)`` of the sources whose folder holds a graph, found by listing alone."""
     found = []
-    for label, folder in sources:
-        try:
-            found.append((label, load_graph(spark, folder)))
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error.getCondition()):
-                raise
-    return found
+    for position, (label, folder) in enumerate(sources):
+        numbers = [n for n, _ in commits.children(spark, f"{folder}/properties") if n.startswith("graph-")]
+        if numbers:
+            found.append((label, folder, position, f"{folder}/properties/{max(numbers)}"))
+    if not found:
+        return []
+    states = spark.read.text([path for *_, path in found], wholetext=True).select("value", "_metadata.file_path")
+    version = F.get_json_object("value", "$.version")
+    # One short row per source.
+    rows = states.select(F.regexp_extract("file_path", "^(?:file:)?/*(.*)/properties/[^/]*$", 1), version).collect()
+    by_folder = {unquote(folder).strip("/"): version for folder, version in rows}
+    plain = lambda folder: re.sub("^file:", "", folder).strip("/")
+    return [(label, folder, by_folder[plain(folder)], position) for label, folder, position, _ in found]
 
 
 def union_sources(spark: SparkSession, sources) -> CodeGraph:
-    """Merge the sources that exist; one alone passes through, none is an error."""
-    return merge_graphs(existing_graphs(spark, sources))
+    """Merge the sources that exist; one alone passes through, none is an error.
+
+    Each table of all sources is one scan of all their folders. A file's path says by its version folder which source
+    graph it belongs to, and by its partition which source, so the plan is the same for five and for five thousand.
+    """
+    found = existing_graphs(spark, sources)
+    if not found:
+        raise ValueError("no source graphs to merge")
+    if len(found) == 1:
+        return load_graph(spark, found[0][1])
+    labels = spark.createDataFrame([(v, label, place) for label, _, v, place in found], "_version string, _label string, _position int")
+
+    def table(name):
+        fields, partition, _ = _LAYOUT[name]
+        own = T.StructType([f for f in fields.fields if f.name != partition])
+        files = spark.read.schema(own).option("recursiveFileLookup", "true").parquet(
+            *[f"{folder}/{version}/{name}" for _, folder, version, _ in found],
+        )
+        place = F.col("_metadata.file_path")
+        # Written as a folder's name and read from a path, so decoded twice; a plus is a plus.
+        plain = lambda c: F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+        value = F.nullif(F.regexp_extract(place, f"/{partition}=([^/]*)/", 1), F.lit("__HIVE_DEFAULT_PARTITION__"))
+        marked = files.withColumns({
+            "_version": F.regexp_extract(place, "/(version-[0-9a-f]+)/", 1), partition: F.coalesce(plain(plain(value)), F.lit("")),
+        })
+        return marked.join(labels, "_version").select(*fields.fieldNames(), "_label", "_position")
+
+    return merge_labelled(CodeGraph(**{name: table(name) for name in _LAYOUT}))
 
 
 _STORED = {}
 
 
-def _folder_for(spark, name, write):
+def folder_once(spark, name, write):
     """Folder of a table set written once per application under the shared folder."""
     key = (spark.sparkContext.applicationId, name)
     if key not in _STORED:
@@ -148,11 +175,11 @@ def stored_once(spark: SparkSession, name: str, build, **options) -> CodeGraph:
     The written table cuts the lineage: a lost executor re-reads files instead of
     rebuilding the graph.
     """
-    return load_graph(spark, _folder_for(spark, name, lambda folder: write_graph(build(), folder, **options)))
+    return load_graph(spark, folder_once(spark, name, lambda folder: write_graph(build(), folder, **options)))
 
 
 def stored_table(spark: SparkSession, name: str, build) -> DataFrame:
     """The same for a single table that several jobs read."""
     return spark.read.parquet(
-        _folder_for(spark, name, lambda folder: build().write.mode("overwrite").parquet(folder)),
+        folder_once(spark, name, lambda folder: build().write.mode("overwrite").parquet(folder)),
     )

@@ -123,7 +123,7 @@ def test_list_symbols(graph, frame):
     assert {r[0] for r in rows(found, "symbol")} == {A}
     strict = files.list_symbols(graph, scopes, boundary=True)
     assert {r[0] for r in rows(strict, "query_id")} == {"src/auth", "SRC/"}
-    assert rows(reports.symbols_by_file(found.filter("query_id = 'src/auth'")), "symbols") == [
+    assert rows(reports.symbols_by_file(found.filter("query_id = 'src/auth'"), 5), "symbols") == [
         (["authorizeToParticipantAndAdminRole (line 12)"],)]
 
 
@@ -131,7 +131,9 @@ def test_imports(graph, frame):
     asked = frame(schema.FILES, [(f, f) for f in ("src/api/b.ts", "src/auth/index.ts", "none.ts")])
     found = files.get_imports(graph, asked)
     assert rows(found, "query_id", "symbol") == [("src/api/b.ts", A), ("src/api/b.ts", C)]
-    assert rows(reports.distinct_names(found), "names") == [(["authorizeToParticipantAndAdminRole", "userExists"],)]
+    assert rows(reports.distinct_names(found), "display_name") == [("authorizeToParticipantAndAdminRole",), ("userExists",)]
+    assert rows(reports.distinct_names(found, 1), "names") == [(["authorizeToParticipantAndAdminRole"],)]
+    assert rows(reports.distinct_names(found, 9), "names") == [(["authorizeToParticipantAndAdminRole", "userExists"],)]
     assert rows(files.get_imports(graph, asked, limit=1), "symbol") == [(A,)]
 
 
@@ -144,6 +146,7 @@ def test_unmatched_and_grouped(graph, ask):
     asked = ask("userExists", "nothing")
     found = lookup.find_references(graph, asked)
     assert rows(lookup.unmatched(asked, found), "query_id") == [("nothing",)]
-    assert rows(reports.references_by_name(found), "display_name", "n_occurrences", "locations") == [
+    assert rows(reports.references_by_name(found), "display_name", "location") == [("userExists", "src/api/b.ts:0-80")]
+    assert rows(reports.references_by_name(found, 3), "display_name", "n_occurrences", "locations") == [
         ("userExists", 1, ["src/api/b.ts:0-80"])]
     assert rows(lookup.render(found), "location") == [("src/api/b.ts:0-80",)]

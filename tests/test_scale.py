@@ -137,3 +137,41 @@ def test_event_sites_and_positions_use_buckets(make_graph, frame):
     spots = frame(schema.POSITIONS, [(str(n), "f", n) for n in (0, 499, 500, 501, 502, 1000, 1001)])
     got = rows(files.symbols_at(graph, spots), "line", "display_name")
     assert sorted(got) == [(0, "a"), (499, "a"), (500, "a"), (500, "b"), (501, "a"), (501, "b"), (502, "a"), (1000, "a")]
+
+
+def test_a_very_long_chunk_is_few_rows(spark):
+    from symbolweave.plans.rangejoin import LEVELS, add_interval_buckets, add_point_buckets
+    spans = spark.createDataFrame([(0, 999_999), (5, 5), (63, 64), (100, 99), (0, 2_147_483_647)], "a int, b int")
+    cut = add_interval_buckets(spans, F.col("a"), F.col("b"))
+    counts = {(r["a"], r["b"]): r["count"] for r in cut.groupBy("a", "b").count().collect()}
+    assert set(counts) == {(0, 999_999), (5, 5), (63, 64), (0, 2_147_483_647)} and max(counts.values()) <= 2
+    points = spark.createDataFrame([(n,) for n in (0, 5, 63, 64, 65, 999_999, 1_000_000, 2_147_483_647)], "line int")
+    places = add_point_buckets(points, F.col("line"))
+    assert places.count() == 8 * len(LEVELS)
+    met = places.join(cut, ["_level", "_bucket"]).filter("line BETWEEN a AND b")
+    expected = [(n, a, b) for n in (0, 5, 63, 64, 65, 999_999, 1_000_000, 2_147_483_647) for a, b in counts if a <= n <= b]
+    assert sorted(tuple(r) for r in met.select("line", "a", "b").collect()) == sorted(expected)
+
+
+def test_numbering_of_one_line_is_spread(spark):
+    """All rows of one key on one line: still many tasks, one shuffle of the rows, and the right places."""
+    df = spark.range(4000).select(
+        F.when(F.col("id") < 3600, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 5).cast("string"))).alias("k"),
+        F.lit(1).alias("line"), (F.col("id") * 37 % 4000).alias("x"),
+    )
+    numbered = ranking.number_sorted(df, ["k"], ["line", "x"], "n")
+    by_key = {}
+    for row in df.collect():
+        by_key.setdefault(row["k"], []).append(row["x"])
+    expected = {(k, x): i for k, xs in by_key.items() for i, x in enumerate(sorted(xs))}
+    assert {(r["k"], r["x"]): r["n"] for r in numbered.collect()} == expected
+    assert numbered.select("n").rdd.getNumPartitions() >= 1 and "SortMergeJoin" not in plan_of(numbered)
+
+
+def test_ids_of_spans_do_not_run_over(spark):
+    df = spark.createDataFrame([("s", f"d{i}", n) for i, n in enumerate((0, 1, 1 << 30, 3, 1 << 33))], "source string, k string, size long")
+    spans = ranking.add_stable_spans(df, "source", F.col("k"), F.col("size"), "span")
+    ends = spans.filter("size > 0").select(
+        ranking.span_id(F.col("span"), F.lit(0)).alias("a"), ranking.span_id(F.col("span"), F.col("size") - 1).alias("b"), "span.bucket")
+    found = sorted((r["bucket"], r["a"], r["b"]) for r in ends.collect())
+    assert all(a <= b for _, a, b in found) and all(x[2] < y[1] for x, y in zip(found, found[1:]) if x[0] == y[0])

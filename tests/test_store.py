@@ -1,4 +1,5 @@
 import os
+import re
 
 import pytest
 from conftest import rows
@@ -139,3 +140,55 @@ def test_a_label_that_hides_a_source_is_refused(make_graph):
     both = merge.CodeGraph(**{n: getattr(parts[0], n).unionByName(getattr(parts[1], n)) for n in ("documents", "symbols", "chunks", "mentions", "definition_ranges")})
     with pytest.raises(ValueError):
         merge.merge_graphs([("x", both), ("y", parts[0])])
+
+
+def test_union_reads_odd_names(spark, make_graph, tmp_path):
+    """Labels and sources with characters that folders and paths write in their own way."""
+    labels = ["a/b c", "d+e%2F", "ü=1", ""]
+    graphs = [make_graph(documents=[(1, "f.go", "go")], symbols=[(1, "p/T#")], chunks=[(1, 1, 0, 9)], mentions=[(1, 1, 8)], source=s)
+              for s in ("", "x+y z%20", "q/r", "plain")]
+    for i, graph in enumerate(graphs):
+        store.write_graph(graph, f"{tmp_path}/g {i}", sites=False)
+    both = store.union_sources(spark, [(label, f"{tmp_path}/g {i}") for i, label in enumerate(labels)])
+    at_once = merge.merge_graphs(list(zip(labels, graphs)))
+    for name in ("documents", "symbols", "mentions"):
+        columns = sorted(set(getattr(at_once, name).columns) - {"relationships"})
+        assert rows(getattr(both, name), *columns) == rows(getattr(at_once, name), *columns) != []
+    plan = lambda n: both.documents._jdf.queryExecution().analyzed().toString().count("Relation")
+    assert plan(4) == 1
+
+
+def test_indexes_answer_as_scans_do(spark, make_graph, ask, frame, tmp_path):
+    symbols = [(i, f"scip-go gomod m v{i % 3} `pkg/{'ab'[i % 2]}_x`/{name}#") for i, name in enumerate(
+        ("Alpha", "alphabet", "Beta_x", "gamma%Gamma", "d", "Ünit", "ALPHA", "a.b", "x"))]
+    graph = make_graph(documents=[(i, f"Src/{p}", "go") for i, p in enumerate(("a.go", "A/b.go", "b_c/d.go", "b%c/e.go", "ü/f.go"))],
+                       symbols=symbols, chunks=[(i, i % 5, 0, 9) for i in range(9)], mentions=[(i, i, 8) for i in range(9)],
+                       ranges=[(i, i % 5, i, 0, i + 3, 1) for i in range(9)], relations={i: [(symbols[i - 1][1], i % 2 == 0)] for i in range(1, 9)})
+    store.write_graph(graph, f"{tmp_path}/g", site_buckets=3)
+    stored = store.load_graph(spark, f"{tmp_path}/g")
+    assert stored.indexes is not None and len(stored.indexes.path_splits) <= 3
+    names = ask("alpha", "ALPHA", "a%t", "_x", "", "%", "d", "gamma%G", "no such name", "pkg/a_x", "ünit", "Ünit", "`/x", "zzzz%alpha", None)
+    for match in ("like", "literal", "exact"):
+        for query in (lookup.resolve_symbols, lookup.find_references, lookup.find_definitions, lookup.find_implementations):
+            assert rows(query(stored, names, match=match)) == rows(query(graph, names, match=match))
+    assert rows(lookup.find_implementations(stored, names, by_key=True)) == rows(lookup.find_implementations(graph, names, by_key=True)) != []
+    assert rows(lookup.resolve_exact(stored, ["Alpha", "x"]), "symbol") == rows(lookup.resolve_exact(graph, ["Alpha", "x"]), "symbol") != []
+    scopes = frame(schema.SCOPES, [(s, s) for s in ("src/", "SRC/A", "src/b_c", "src/b%c", "%/d", "src/ü", "", "zzz", "src/a/b.go", "a")])
+    for boundary in (False, True):
+        assert rows(files.list_symbols(stored, scopes, boundary=boundary)) == rows(files.list_symbols(graph, scopes, boundary=boundary)) != []
+
+
+def test_index_lookups_read_some_partitions(spark, make_graph, ask, frame, tmp_path):
+    graph = make_graph(documents=[(i, f"p{i:03}/f.go", "go") for i in range(60)], symbols=[(i, f"p/Name{i:03}#") for i in range(60)],
+                       ranges=[(i, i, 1, 0, 2, 1) for i in range(60)], relations={i: [(f"p/Name{i - 1:03}#", True)] for i in range(1, 60)})
+    store.write_graph(graph, f"{tmp_path}/g", site_buckets=8)
+    stored = store.load_graph(spark, f"{tmp_path}/g")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    exact = lookup.resolve_exact(stored, ["Name007"])
+    assert exact.count() == 1 and len(exact.inputFiles()) >= 1
+    filtered = lambda df, column: re.search(rf"PartitionFilters: \[[^]]*{column}", plan(df))
+    assert filtered(exact, "name_bucket") and "EqualTo(display_name,Name007)" in plan(exact)
+    for df, table in ((lookup.resolve_symbols(stored, ask("Name007")), "gram_bucket"), (lookup.find_implementations(stored, ask("Name007")), "target_bucket"),
+                      (files.list_symbols(stored, frame(schema.SCOPES, [("q", "p007/")])), "path_part")):
+        assert filtered(df, table) and "dynamicpruning" in plan(df), table
+    assert "Generate explode(grams" not in plan(lookup.resolve_symbols(stored, ask("Name007")))
