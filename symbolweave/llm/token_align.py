@@ -165,6 +165,8 @@ class Aligner:
 
     def blocks(self, blocks: list[str]):
         """For each block its counts, its groups as text and its pairs with how often each; None where bytes differ."""
+        if len(self.slots) > CACHE_PIECES:
+            self._shrink()
         split = [CUT.split(b) for b in blocks]
         known = self.slots
         if new := list(set(chain.from_iterable(split)).difference(known)):
@@ -176,9 +178,6 @@ class Aligner:
                 yield None
             else:
                 yield self.counts[slots].sum(axis=0), ";".join(map(self.groups.__getitem__, slots.tolist())), np.unique(self._linked(slots), return_counts=True)
-        if len(self.slots) > CACHE_PIECES:
-            self._shrink()
-
     def texts(self, texts: list[str]):
         """``(n_a, n_b, n_groups, groups_sha256, pairs, times)`` of each whole text; None where bytes differ.
 

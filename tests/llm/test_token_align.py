@@ -93,6 +93,10 @@ def test_blocks_and_cache_do_not_change_a_text(monkeypatch):
     monkeypatch.setattr(token_align, "BLOCK_CHARS", 50)
     monkeypatch.setattr(token_align, "CACHE_PIECES", 4)
     monkeypatch.setattr(token_align, "BATCH_CHARS", 120)
+    shrunk = []
+    shrink = token_align.Aligner._shrink
+    monkeypatch.setattr(token_align.Aligner, "_shrink", lambda self: (shrink(self), shrunk.append(len(self.slots))))
     parts = read()
+    assert shrunk and max(shrunk) == 2
     assert whole[:4] == parts[:4] and all((x == y).all() for x, y in zip(whole[4:], parts[4:]))
     assert whole[:4] == (*plain([(0, text)])[0][:3], plain([(0, text)])[0][6])
