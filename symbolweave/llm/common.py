@@ -1,5 +1,6 @@
 """Helpers shared by the operators: the shared folder, written tables, row identity and byte hashing."""
 
+import gc
 import os
 import shutil
 import tempfile
@@ -41,7 +42,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables of ``stored`` that nothing will read again, and lets the driver drop what finished steps shuffled."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession._jvm.System.gc()
 
 
 def fold_of(doc_id: Column, folds: int) -> Column:

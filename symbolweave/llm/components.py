@@ -3,24 +3,27 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from symbolweave.llm.common import stored
+from symbolweave.llm.common import discard, stored
 
 MAX_ROUNDS = 60
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, tidy: bool = False) -> DataFrame:
     """``(node, component)`` for each node of ``edges(a, b)``; the component is its smallest node.
 
     Each round joins the edges with one minimum per node, so a node with very many neighbours is pre-aggregated
     and its join can be split; no neighbour list is gathered. Rounds end when no edge changes. Edges with a null
-    end are left out, loops keep their node, repeated edges count once, and no edges give no rows.
+    end are left out, loops keep their node, repeated edges count once, and no edges give no rows. ``tidy`` removes
+    the table of each round when the next one is written.
     """
     whole = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
     loops = edges.where("a = b").select(F.col("a").alias("node"))
     links = stored(whole.where("a < b").distinct(), "links")
     before = None
     for _ in range(MAX_ROUNDS):
-        links = stored(_small_star(_large_star(links)), "links")
+        old, links = links, stored(_small_star(_large_star(links)), "links")
+        if tidy:
+            discard(old)
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
         if state == before:
             break
