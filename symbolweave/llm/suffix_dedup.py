@@ -1,5 +1,7 @@
 """Removal of repeated byte strings: windows located by minimisers, decided in suffix arrays built by linear grouping."""
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -9,7 +11,7 @@ from symbolweave.llm.common import finish, prefix_hash, span_hash, stored
 
 LENGTH, GRAM = 200, 40
 PIECE_BITS = 23
-ARRAY_BYTES, HOT_CONTEXTS = 1 << 17, 4096
+ARRAY_BYTES, HOT_CONTEXTS, YIELD_BYTES, SPLIT = 1 << 17, 4096, 1 << 22, 20
 
 
 def suffix_array(text: list[int]) -> list[int]:
@@ -20,20 +22,23 @@ def suffix_array(text: list[int]) -> list[int]:
     higher, into new groups right after their own. A group then holds the suffixes with one Lyndon prefix. The second
     pass walks the growing array: the suffix before each entry, and those along its pointers, come next in their groups.
     """
-    letters = [x + 1 for x in text] + [0]
+    letters = np.append(np.asarray(text, dtype=np.int64) + 1, 0)
     n = len(letters)
-    order = sorted(range(n), key=letters.__getitem__)
-    group, place, size, before = [0] * n, [0] * n, [0] * n, [-1] * n
-    start = 0
-    for r, i in enumerate(order):
-        if r and letters[i] != letters[order[r - 1]]:
-            start = r
-        group[i], place[i] = start, r
-        size[start] += 1
+    counts = np.bincount(letters)
+    # Counting places: the suffixes of one first letter follow each other, by position.
+    by_letter = np.argsort(letters, kind="stable")
+    starts = (np.cumsum(counts) - counts)[letters]
+    ranks = np.empty(n, dtype=np.int64)
+    ranks[by_letter] = np.arange(n)
+    sizes = np.zeros(n, dtype=np.int64)
+    sizes[(np.cumsum(counts) - counts)[counts > 0]] = counts[counts > 0]
+    # Four bytes an entry, read and written one by one below.
+    order, group, place, size = (array("i", a.astype(np.int32).tobytes()) for a in (by_letter, starts, ranks, sizes))
+    before = array("i", [-1]) * n
     end = n - 1
     while end >= 0:
         start = group[order[end]]
-        members = sorted(order[start : end + 1])
+        members = np.sort(np.frombuffer(order[start : end + 1], dtype=np.int32)).tolist()
         pointed: dict[int, int] = {}
         for s in members:
             p = s - 1
@@ -46,7 +51,7 @@ def suffix_array(text: list[int]) -> list[int]:
         by_count: dict[int, list[int]] = {}
         for p, k in pointed.items():
             by_count.setdefault(k, []).append(p)
-        for k in sorted(by_count, reverse=True):
+        for k in _descending(by_count, len(members)):
             touched: dict[int, int] = {}
             for p in by_count[k]:
                 own = group[p]
@@ -62,9 +67,9 @@ def suffix_array(text: list[int]) -> list[int]:
                 size[first] = moved
                 for r in range(first, first + moved):
                     group[order[r]] = first
-    out = [-1] * n
+    out = array("i", [-1]) * n
     out[0] = n - 1
-    free = list(range(n))
+    free = array("i", range(n))
     done = bytearray(n)
     done[n - 1] = 1
     free[group[n - 1]] += 1
@@ -76,7 +81,12 @@ def suffix_array(text: list[int]) -> list[int]:
             out[at] = j
             done[j] = 1
             j = before[j]
-    return out[1:]
+    return out.tolist()[1:]
+
+
+def _descending(found, most):
+    """The keys, numbers up to ``most``, from the largest on; where they are dense no comparison is made."""
+    return sorted(found, reverse=True) if len(found) * 8 < most else [k for k in range(most, 0, -1) if k in found]
 
 
 def repeated_starts(contexts: list[bytes], length: int) -> list[np.ndarray]:
@@ -165,16 +175,26 @@ def _contexts(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """``gram, context, n, skip, data`` of one occurrence of each context, cut from its text."""
     asked = wanted.groupBy("row").agg(F.collect_list(F.struct("gram", "context", "n", "at", "windows", "skip")).alias("asked"))
 
+    names = ("gram", "context", "n", "skip", "data")
+
+    def made(out):
+        return pa.RecordBatch.from_arrays([pa.array(out[k], pa.binary() if k == "data" else pa.int64()) for k in names], names=list(names))
+
     def run(batches):
+        out: dict[str, list] = {k: [] for k in names}
+        size = 0
         for batch in batches:
-            out: dict[str, list] = {"gram": [], "context": [], "n": [], "skip": [], "data": []}
             for data, asked in zip(batch.column(0), batch.column(1)):
                 view = memoryview(data.as_buffer())
                 for a in asked.as_py():
                     out["data"].append(bytes(view[a["at"] : a["at"] + a["windows"] - 1 + length]))
-                    for name in ("gram", "context", "n", "skip"):
+                    size += len(out["data"][-1])
+                    for name in names[:4]:
                         out[name].append(a[name])
-            yield pa.RecordBatch.from_arrays([pa.array(out[k], pa.binary() if k == "data" else pa.int64()) for k in out], names=list(out))
+                    if size >= YIELD_BYTES:
+                        yield made(out)
+                        out, size = {k: [] for k in names}, 0
+        yield made(out)
 
     return rows.dropDuplicates(["row"]).join(asked, "row").select("data", "asked").mapInArrow(run, "gram bigint, context bigint, n bigint, skip bigint, data binary")
 
@@ -187,41 +207,43 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _alike(contexts: list[tuple], length: int, gram: int) -> list[bool]:
     """Which contexts of one gram can share a window with another.
 
-    A window holds the gram and ``length - gram`` bytes around it, so at least half of those on one side: two contexts
-    that share a window agree in that many bytes before the gram or after it.
+    A window holds the gram, some ``x`` of the ``length - gram`` bytes around it before the gram, and the rest after it.
+    So two contexts that share one agree, for ``x`` rounded down to a multiple of ``SPLIT``, in so many bytes before the
+    gram, and in all but ``SPLIT`` of the others after it.
     """
-    half = -(-(length - gram) // 2)
-    keys = []
+    around = length - gram
+    sides = [(x, max(0, around - x - SPLIT)) for x in range(0, around + 1, SPLIT)]
+    keys, counts = [], {}
     for _, _, skip, data in contexts:
-        after = data[skip + gram : skip + gram + half]
-        keys.append((data[skip - half : skip] if skip >= half else None, after if len(after) == half else None))
-    counts: dict[tuple, int] = {}
-    for pair in keys:
-        for side, key in enumerate(pair):
-            if key is not None:
-                counts[side, key] = counts.get((side, key), 0) + 1
-    return [any(key is not None and counts[side, key] > 1 for side, key in enumerate(pair)) for pair in keys]
+        after = len(data) - skip - gram
+        own = [(x, data[skip - x : skip] + data[skip + gram : skip + gram + y]) for x, y in sides if x <= skip and y <= after]
+        keys.append(own)
+        for key in own:
+            counts[key] = counts.get(key, 0) + 1
+    return [any(counts[key] > 1 for key in own) for own in keys]
 
 
 def _decided(contexts: DataFrame, length: int, gram_length: int) -> DataFrame:
-    """``context, skip, windows``: the runs of windows of each context that occur elsewhere.
+    """``gram, context, skip, windows``: the runs of windows of each context that occur elsewhere.
 
     Contexts come sorted by gram, so a gram's are decided in one suffix array, several grams in one of about
     ``ARRAY_BYTES``. Contexts that no other one of their gram can match stay out of it.
     """
     def decide(held, alone):
-        out: dict[str, list] = {"context": [], "skip": [], "windows": []}
-        for (context, n, _, data), flags in zip(held, repeated_starts([h[3] for h in held], length) if held else []):
+        out: dict[str, list] = {"gram": [], "context": [], "skip": [], "windows": []}
+        for (gram, context, n, _, data), flags in zip(held, repeated_starts([h[4] for h in held], length) if held else []):
             skip, windows = _runs(flags | (n > 1))
+            out["gram"] += [gram] * len(skip)
             out["context"] += [context] * len(skip)
             out["skip"] += skip.tolist()
             out["windows"] += windows.tolist()
-        for context, n, _, data in alone:
+        for gram, context, n, _, data in alone:
             if n > 1:
+                out["gram"].append(gram)
                 out["context"].append(context)
                 out["skip"].append(0)
                 out["windows"].append(len(data) - length + 1)
-        return pa.RecordBatch.from_arrays([pa.array(out["context"], pa.int64()), pa.array(out["skip"], pa.int32()), pa.array(out["windows"], pa.int32())], names=list(out))
+        return pa.RecordBatch.from_arrays([pa.array(out[k], pa.int64() if k in ("gram", "context") else pa.int32()) for k in out], names=list(out))
 
     def run(batches):
         held: list = []
@@ -231,14 +253,14 @@ def _decided(contexts: DataFrame, length: int, gram_length: int) -> DataFrame:
 
         def close():
             for context, good in zip(own, _alike(own, length, gram_length)):
-                (held if good else alone).append(context)
+                (held if good else alone).append((last, *context))
             own.clear()
 
         for batch in batches:
             for gram, *context in zip(*(c.to_pylist() for c in batch.columns)):
                 if gram != last:
                     close()
-                    if sum(len(h[3]) for h in held) >= ARRAY_BYTES or len(alone) >= HOT_CONTEXTS:
+                    if sum(len(h[4]) for h in held) >= ARRAY_BYTES or len(alone) >= HOT_CONTEXTS:
                         yield decide(held, alone)
                         held, alone = [], []
                 own.append(tuple(context))
@@ -247,23 +269,23 @@ def _decided(contexts: DataFrame, length: int, gram_length: int) -> DataFrame:
         yield decide(held, alone)
 
     dealt = contexts.repartition("gram").sortWithinPartitions("gram", "context")
-    return dealt.mapInArrow(run, "context bigint, skip int, windows int")
+    return dealt.mapInArrow(run, "gram bigint, context bigint, skip int, windows int")
 
 
 def _counted(contexts: DataFrame, length: int) -> DataFrame:
     """The same for grams with very many contexts: windows are counted by hash, over all tasks."""
     def hashes(batches):
         for batch in batches:
-            for context, n, data in zip(*(batch.column(k) for k in (1, 2, 4))):
+            for name, context, n, data in zip(*(batch.column(k) for k in (0, 1, 2, 4))):
                 part = np.frombuffer(data.as_buffer(), dtype=np.uint8)
                 at = np.arange(len(part) - length + 1)
                 own = span_hash(prefix_hash(part), at, at + length).view(np.int64)
                 rows = len(own)
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array([context.as_py()] * rows, pa.int64()), pa.array(at.astype(np.int32)), pa.array([n.as_py()] * rows, pa.int64())], names=["w", "context", "skip", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(own), *(pa.array([v.as_py()] * rows, pa.int64()) for v in (name, context)), pa.array(at.astype(np.int32)), pa.array([n.as_py()] * rows, pa.int64())], names=["w", "gram", "context", "skip", "n"])
 
-    every = contexts.mapInArrow(hashes, "w bigint, context bigint, skip int, n bigint")
-    often = every.groupBy("w").agg(F.sum("n").alias("k")).where("k > 1").select("w")
-    return every.join(often, "w").select("context", "skip", F.lit(1).alias("windows"))
+    every = contexts.mapInArrow(hashes, "w bigint, gram bigint, context bigint, skip int, n bigint")
+    often = every.groupBy("gram", "w").agg(F.sum("n").alias("k")).where("k > 1").select("gram", "w")
+    return every.join(often, ["gram", "w"]).select("gram", "context", "skip", F.lit(1).alias("windows"))
 
 
 def dedup_bytes(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT_CONTEXTS) -> DataFrame:
@@ -280,7 +302,9 @@ def dedup_bytes(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
     rows = _named(documents)
     located = stored(_located(rows, length, gram), "suffix-anchors")
     grams = located.groupBy("gram").agg(F.count("*").alias("k"), F.min("context").alias("low"), F.max("context").alias("high")).where("k > 1")
-    repeated = stored(located.join(grams, "gram").select("row", "gram", "context", "at", "windows", "skip", (F.col("low") == F.col("high")).alias("whole")), "suffix-repeats")
+    # Stored first, so that the join can part a gram that most anchors have.
+    grams = stored(grams.select("gram", (F.col("low") == F.col("high")).alias("whole")), "suffix-grams")
+    repeated = stored(located.join(grams, "gram").select("row", "gram", "context", "at", "windows", "skip", "whole"), "suffix-repeats")
     mixed = repeated.where("NOT whole")
     wanted = mixed.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("row", "at", "windows", "skip")).alias("one"))
     wanted = stored(wanted.select("gram", "context", "n", "one.row", "one.at", "one.windows", "one.skip"), "suffix-contexts")
@@ -288,7 +312,7 @@ def dedup_bytes(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
     many = contexts.groupBy("gram").agg(F.count("*").alias("k")).where(F.col("k") > hot).select("gram")
     found = _decided(contexts.join(many, "gram", "left_anti"), length, gram).union(_counted(contexts.join(many, "gram", "left_semi").select("gram", "context", "n", "skip", "data"), length))
     found = stored(found.withColumnRenamed("windows", "run"), "suffix-found")
-    ends = mixed.drop("skip").join(found, "context").select("row", (F.col("at") + F.col("skip")).alias("at"), F.col("run").alias("windows"))
+    ends = mixed.drop("skip").join(found, ["gram", "context"]).select("row", (F.col("at") + F.col("skip")).alias("at"), F.col("run").alias("windows"))
     spans = repeated.where("whole").select("row", "at", "windows").union(ends)
     spans = spans.groupBy("row").agg(F.collect_set(F.struct("at", "windows")).alias("spans"))
 
