@@ -47,6 +47,16 @@ def _letters() -> np.ndarray:
     return np.array([unicodedata.category(chr(i))[0] in "LM" for i in range(0x110000)])
 
 
+@lru_cache(maxsize=1)
+def _true_letters() -> np.ndarray:
+    """True for the code points of letters alone."""
+    return np.array([unicodedata.category(chr(i))[0] == "L" for i in range(0x110000)])
+
+
+def has_letter(codes: np.ndarray) -> bool:
+    return bool(_true_letters()[codes].any())
+
+
 def letters_only(text: str) -> np.ndarray:
     """Code points in lower case, every run of other characters than letters as one space."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
@@ -81,10 +91,11 @@ class Parser:
         self.weights = np.array([np.log2(max(2, len(texts[n]))) for n in self.languages])
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Number of phrases of each text by each language.
+        """Number of phrases of each text by each language: longest matches one after the other, an unknown letter alone.
 
-        Texts are cut into blocks of fixed length, and a phrase ends with its block, so that all blocks of a batch
-        are parsed side by side, one letter a step.
+        Texts are cut into blocks of fixed length that are parsed side by side, one letter a step, at first all from the
+        start state. Then each block is parsed again from the state in which the one before it ends, until it comes to
+        where it was at first; a block that never does is parsed whole, and the next one after it.
         """
         lengths = np.array([len(t) for t in texts])
         blocks = -(-lengths // BLOCK)
@@ -94,25 +105,60 @@ class Parser:
             padded[at : at + len(t)] = t
         steps = padded.reshape(-1, BLOCK).T
         owner = np.repeat(np.arange(len(texts)), blocks)
+        first = np.concatenate(([True], owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, dtype=bool)
         out = np.zeros((len(texts), len(self.languages)))
         for n, (root, letters) in enumerate(zip(self.roots, self.letters)):
             cells = np.clip(np.searchsorted(letters, steps), 0, len(letters) - 1)
             cells = np.where(letters[cells] == steps, cells + 2, 0).astype(np.int32)
             cells[steps == 0] = 1
-            state = np.full(steps.shape[1], root, dtype=np.int32)
-            count = np.zeros(steps.shape[1], dtype=np.int32)
-            table = self.table
-            for row in cells:
-                to = table[state + row]
-                miss = to < 0
-                count += miss
-                fresh = table[root + row[miss]]
-                to[miss] = np.where(fresh < 0, root, fresh)
-                state = to
-            count += state != root
-            out[:, n] = np.bincount(owner, weights=count, minlength=len(texts))
+            states, counts = np.empty_like(cells), np.empty_like(cells)
+            state, count = np.full(steps.shape[1], root, dtype=np.int32), np.zeros(steps.shape[1], dtype=np.int32)
+            for t, row in enumerate(cells):
+                state, count = self._step(root, state, count, row)
+                states[t], counts[t] = state, count
+            total, end = count.copy(), state.copy()
+            again = np.flatnonzero(~first[1:] & (end[:-1] != root)) + 1
+            whole: list = []
+            state, count = end[again - 1], np.zeros(len(again), dtype=np.int32)
+            for t in range(BLOCK):
+                if not len(again):
+                    break
+                state, count = self._step(root, state, count, cells[t, again])
+                met = state == states[t, again]
+                total[again[met]] = count[met] + counts[-1, again[met]] - counts[t, again[met]]
+                again, state, count = again[~met], state[~met], count[~met]
+            for at, s, c in zip(again, state, count):
+                total[at], end[at] = c, s
+                whole.append(at + 1)
+            # In order, so that a block is parsed after the one that changed before it.
+            while whole:
+                at = whole.pop(0)
+                if at >= len(owner) or first[at]:
+                    continue
+                state, count = end[at - 1 : at], np.zeros(1, dtype=np.int32)
+                for t in range(BLOCK):
+                    state, count = self._step(root, state, count, cells[t, at : at + 1])
+                total[at] = count[0]
+                if state[0] != end[at]:
+                    end[at] = state[0]
+                    whole.insert(0, at + 1)
+            last = np.append(first[1:], True) if len(owner) else first
+            total += last & (end != root)
+            out[:, n] = np.bincount(owner, weights=total, minlength=len(texts))
         return out
 
+    def _step(self, root, state, count, row):
+        """States and phrases after one more letter each: a phrase ends where it cannot go on, an unknown letter is one more."""
+        to = self.table[state + row]
+        miss = to < 0
+        if miss.any():
+            fresh = self.table[root + row[miss]]
+            unknown = fresh < 0
+            count = count + miss
+            count[miss] += unknown & (state[miss] != root)
+            to[miss] = np.where(unknown, root, fresh)
+        return to, count
+
     def classify(self, texts: list[np.ndarray]) -> list[tuple[str, float]]:
         """Language and score of texts with letters: the share by which the best parse is shorter than the second."""
         rates = self.phrases(texts) * self.weights
@@ -157,7 +203,7 @@ def fit(rows: DataFrame, language: str = "lang", sample_rows: int = SAMPLE_ROWS,
 def identify(documents: DataFrame, parser: Parser, held_out: Column | None = None) -> DataFrame:
     """Per document: ``doc_id, held_out, lang_pred, score`` of its whole text.
 
-    A null text, one without a letter, and every text if nothing was learnt, is ``und`` with score 0. Ties go to the
+    A null text, one without a letter (marks alone are none), and every text if nothing was learnt, is ``und`` with score 0. Ties go to the
     language first by name. Rows with equal or null ids are rows of their own; other columns are not read.
     """
     spark = documents.sparkSession
@@ -171,7 +217,7 @@ def identify(documents: DataFrame, parser: Parser, held_out: Column | None = Non
             at, held_texts, size = [], [], 0
             for i, text in enumerate(batch.column(2)):
                 codes = letters_only(text.as_py() or "")
-                if work.languages and (codes != 32).any():
+                if work.languages and has_letter(codes):
                     at.append(i)
                     held_texts.append(codes)
                     size += len(codes)
