@@ -49,12 +49,14 @@ class Model:
 def labelled_sample(documents: DataFrame, labels: DataFrame, usable: Column, label: str, rows: int = SAMPLE_ROWS) -> DataFrame:
     """``text, y`` of the ``rows`` usable labelled ids with the smallest hash, with their whole texts.
 
-    The ids of the sample have a fixed bound, so they are broadcast and no text is shuffled but the sample's.
+    Labels other than 0 and 1 are left out; an id with both is 1. Of rows with one id one text is taken, that with the
+    smallest hash. The ids of the sample have a fixed bound, so they are broadcast and no text is shuffled but the sample's.
     """
-    few = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & usable).select("doc_id", F.col(label).cast("int").alias("y")).dropDuplicates(["doc_id"])
-    few = few.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(rows)
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & usable)
+    few = known.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("y")).orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(rows)
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(few), "doc_id").select("text", "y")
+    found = texts.join(F.broadcast(few), "doc_id").groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
+    return found.select("t.text", "y")
 
 
 def fit(sample: DataFrame) -> Model:
