@@ -236,7 +236,72 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     return token_align.align(_table(spark, folder, "documents"), *paths).measures()
 
 
-@_query("op13_turn_repair")
+REPAIR_SQL = r"""
+WITH RECURSIVE crc_table AS (
+    SELECT list(c ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_concat([i::UBIGINT], list_transform(range(8), lambda k: 0::UBIGINT)),
+            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) AS c FROM range(256) r(i))
+), keyed AS (
+    SELECT conv_id, turn, COALESCE(role, ' ') AS role, COALESCE(text, ' ') AS text,
+           COALESCE(conv_id::VARCHAR, ' ') || ':' || COALESCE(turn::VARCHAR, ' ') AS key FROM conversations
+), coded AS (
+    SELECT conv_id, turn, role, text, xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(range(1, strlen(key) + 1), lambda i: ascii(key[i])::UBIGINT)),
+            lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)::INTEGER])), 4294967295::UBIGINT) % 20 AS code
+    FROM keyed k, crc_table
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+           CASE WHEN code = 1 THEN '' WHEN code = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE WHEN code = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM coded WHERE code <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 256), md5(text), copy) AS i,
+           row_number() OVER (PARTITION BY conv_id, role, md5(text) ORDER BY turn NULLS FIRST, left(text, 256), copy) AS nth,
+           regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+    FROM damaged
+), faulty AS (
+    SELECT *, CASE WHEN last = '' THEN 'b' WHEN nth > 1 THEN 'd' WHEN last NOT IN ('.', '!', '?') THEN 't' ELSE '-' END AS fault,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+    FROM placed
+), summed AS (
+    SELECT conv_id, count(*) AS n, COALESCE(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+           count(*) FILTER (WHERE fault = 'b') AS blank, count(*) FILTER (WHERE fault = 'd') AS duplicate,
+           count(*) FILTER (WHERE fault = 't') AS truncated,
+           count(*) FILTER (WHERE before IS NOT NULL AND before || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM faulty GROUP BY conv_id
+), moves(a, b, cost, edits, lines) AS (
+    -- States: 0 nothing yet, 1 after system, 2 after user, 3 after assistant; inserts lead from one to the next.
+    VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+           (0, 2, 2, 'I', 'user:' || chr(10)), (1, 2, 2, 'I', 'user:' || chr(10)), (2, 3, 2, 'I', 'assistant:' || chr(10)), (3, 2, 2, 'I', 'user:' || chr(10)),
+           (0, 3, 4, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)), (1, 3, 4, 'II', 'user:' || chr(10) || 'assistant:' || chr(10))
+), steps AS (
+    SELECT f.conv_id, f.i, m.a, e.b, m.cost + e.cost AS cost, m.edits || e.edit AS edits, m.lines || e.line AS lines
+    FROM faulty f, moves m, LATERAL (
+        SELECT m.b AS b, 3 AS cost, 'D' AS edit, '' AS line
+        UNION ALL SELECT CASE WHEN m.b = 2 THEN 3 ELSE 2 END, 2 + (f.fault = 't')::INTEGER, 'R',
+            CASE WHEN m.b = 2 THEN 'assistant' ELSE 'user' END || ':' || f.text || chr(10) WHERE f.fault IN ('-', 't')
+        UNION ALL SELECT CASE left(f.role, 1) WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END, (f.fault = 't')::INTEGER, 'K', f.role || ':' || f.text || chr(10)
+            WHERE f.fault IN ('-', 't') AND ((m.b = 0 AND left(f.role, 1) IN ('s', 'u')) OR (m.b = 1 AND left(f.role, 1) = 'u')
+                OR (m.b = 2 AND left(f.role, 1) = 'a') OR (m.b = 3 AND left(f.role, 1) = 'u'))) e
+), paths(conv_id, i, state, cost, audit, lines) AS (
+    SELECT conv_id, 0::BIGINT, 0, 0, '', '' FROM summed
+    UNION ALL
+    SELECT conv_id, i, state, best.cost, best.audit, best.lines FROM (
+        SELECT p.conv_id, s.i, s.b AS state, min({'cost': p.cost + s.cost, 'audit': p.audit || s.edits, 'lines': p.lines || s.lines}) AS best
+        FROM paths p JOIN steps s ON p.conv_id IS NOT DISTINCT FROM s.conv_id AND s.i = p.i + 1 AND s.a = p.state GROUP BY ALL)
+), ended AS (
+    SELECT p.conv_id, min({'cost': p.cost + m.cost, 'audit': p.audit || m.edits, 'lines': p.lines || m.lines}) AS best
+    FROM paths p JOIN summed s ON p.conv_id IS NOT DISTINCT FROM s.conv_id AND p.i = s.n JOIN moves m ON m.a = p.state AND m.b IN (0, 3)
+    GROUP BY p.conv_id
+)
+SELECT o.conv_id, COALESCE(s.gaps, 0)::BIGINT AS gaps, COALESCE(s.blank, 0)::BIGINT AS blank, COALESCE(s.duplicate, 0)::BIGINT AS duplicate,
+       COALESCE(s.truncated, 0)::BIGINT AS truncated, COALESCE(s.illegal, 0)::BIGINT AS illegal, COALESCE(e.best.cost, 0)::BIGINT AS cost,
+       COALESCE(e.best.audit, '') AS audit, sha256(COALESCE(e.best.lines[:-2], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN summed s ON o.conv_id IS NOT DISTINCT FROM s.conv_id LEFT JOIN ended e ON o.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
+@_query("op13_turn_repair", REPAIR_SQL)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation after the damage: its faults, its cheapest edits and a digest of its repaired turns."""
     return turn_repair.repair(_table(spark, folder, "conversations")).report()
