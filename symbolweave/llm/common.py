@@ -48,14 +48,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Removes tables of ``stored`` that nothing will read again, and lets the driver drop what finished steps shuffled."""
+    """Removes tables of ``stored`` that nothing will read again."""
     for table in tables:
         spark = table.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    if tables:
-        gc.collect()
-        tables[0].sparkSession._jvm.System.gc()
+
+
+def swept(df: DataFrame, name: str) -> DataFrame:
+    """``stored``, after which the driver collects its garbage: what the finished steps shuffled leaves the disks."""
+    table = stored(df, name)
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+    return table
 
 
 def fold_of(doc_id: Column, folds: int) -> Column:
