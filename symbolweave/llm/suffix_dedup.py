@@ -11,7 +11,7 @@ from symbolweave.llm.common import finish, prefix_hash, span_hash, stored
 
 LENGTH, GRAM = 200, 40
 PIECE_BITS = 23
-ARRAY_BYTES, HOT_CONTEXTS, YIELD_BYTES, SPLIT = 1 << 17, 4096, 1 << 22, 20
+ARRAY_BYTES, HOT_CONTEXTS, YIELD_BYTES, SPLIT = 1 << 17, 4096, 1 << 22, 10
 
 
 def suffix_array(text: list[int]) -> list[int]:
@@ -204,23 +204,27 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[0::2], edges[1::2] - edges[0::2]
 
 
-def _alike(contexts: list[tuple], length: int, gram: int) -> list[bool]:
-    """Which contexts of one gram can share a window with another.
+def _alike(contexts: list[tuple], length: int, gram: int) -> list[tuple[int, int] | None]:
+    """The part of each context of one gram that can share a window with another; None if nothing can.
 
     A window holds the gram, some ``x`` of the ``length - gram`` bytes around it before the gram, and the rest after it.
     So two contexts that share one agree, for ``x`` rounded down to a multiple of ``SPLIT``, in so many bytes before the
-    gram, and in all but ``SPLIT`` of the others after it.
+    gram, and in all but ``SPLIT`` of the others after it. What no such window reaches is left out.
     """
     around = length - gram
     sides = [(x, max(0, around - x - SPLIT)) for x in range(0, around + 1, SPLIT)]
     keys, counts = [], {}
     for _, _, skip, data in contexts:
-        after = len(data) - skip - gram
-        own = [(x, data[skip - x : skip] + data[skip + gram : skip + gram + y]) for x, y in sides if x <= skip and y <= after]
+        after, end = len(data) - skip - gram, skip + gram
+        own = [(x, data[skip - x : skip] + data[end : end + y]) for x, y in sides if x <= skip and y <= after]
         keys.append(own)
         for key in own:
             counts[key] = counts.get(key, 0) + 1
-    return [any(counts[key] > 1 for key in own) for own in keys]
+    out = []
+    for (_, _, skip, data), own in zip(contexts, keys):
+        shared = [key[0] for key in own if counts[key] > 1]
+        out.append((max(0, skip - shared[-1] - SPLIT), min(len(data), skip + gram + around - shared[0])) if shared else None)
+    return out
 
 
 def _decided(contexts: DataFrame, length: int, gram_length: int) -> DataFrame:
@@ -231,18 +235,17 @@ def _decided(contexts: DataFrame, length: int, gram_length: int) -> DataFrame:
     """
     def decide(held, alone):
         out: dict[str, list] = {"gram": [], "context": [], "skip": [], "windows": []}
-        for (gram, context, n, _, data), flags in zip(held, repeated_starts([h[4] for h in held], length) if held else []):
-            skip, windows = _runs(flags | (n > 1))
+        for (gram, context, at, _), flags in zip(held, repeated_starts([h[3] for h in held], length) if held else []):
+            skip, windows = _runs(flags)
             out["gram"] += [gram] * len(skip)
             out["context"] += [context] * len(skip)
-            out["skip"] += skip.tolist()
+            out["skip"] += (skip + at).tolist()
             out["windows"] += windows.tolist()
-        for gram, context, n, _, data in alone:
-            if n > 1:
-                out["gram"].append(gram)
-                out["context"].append(context)
-                out["skip"].append(0)
-                out["windows"].append(len(data) - length + 1)
+        for gram, context, windows in alone:
+            out["gram"].append(gram)
+            out["context"].append(context)
+            out["skip"].append(0)
+            out["windows"].append(windows)
         return pa.RecordBatch.from_arrays([pa.array(out[k], pa.int64() if k in ("gram", "context") else pa.int32()) for k in out], names=list(out))
 
     def run(batches):
@@ -252,15 +255,18 @@ def _decided(contexts: DataFrame, length: int, gram_length: int) -> DataFrame:
         last = None
 
         def close():
-            for context, good in zip(own, _alike(own, length, gram_length)):
-                (held if good else alone).append((last, *context))
+            for (context, n, _, data), part in zip(own, _alike(own, length, gram_length)):
+                if n > 1:  # every window of it occurs elsewhere
+                    alone.append((last, context, len(data) - length + 1))
+                if part:
+                    held.append((last, context, part[0], data[part[0] : part[1]]))
             own.clear()
 
         for batch in batches:
             for gram, *context in zip(*(c.to_pylist() for c in batch.columns)):
                 if gram != last:
                     close()
-                    if sum(len(h[4]) for h in held) >= ARRAY_BYTES or len(alone) >= HOT_CONTEXTS:
+                    if sum(len(h[3]) for h in held) >= ARRAY_BYTES or len(alone) >= HOT_CONTEXTS:
                         yield decide(held, alone)
                         held, alone = [], []
                 own.append(tuple(context))

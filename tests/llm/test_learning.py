@@ -79,8 +79,10 @@ def test_alike_contexts_hold_every_shared_window():
     contexts = [(i, 1, skip, say(skip) + middle + say(rng.randrange(51))) for i in range(80) for skip in [rng.randrange(51)]]
     kept = suffix_dedup._alike(contexts, length, gram)
     windows = [{data[k : k + length] for k in range(max(0, skip + gram - length), skip + 1) if k + length <= len(data)} for _, _, skip, data in contexts]
-    shared = [any(a & b for j, b in enumerate(windows) if i != j) for i, a in enumerate(windows)]
-    assert any(shared) and all(k for k, s in zip(kept, shared) if s)
+    shared = [set().union(*(a & b for j, b in enumerate(windows) if i != j)) for i, a in enumerate(windows)]
+    assert any(shared) and None in kept
+    for (_, _, _, data), part, found in zip(contexts, kept, shared):
+        assert not found or all(w in data[part[0] : part[1]] for w in found)
 
 
 def test_one_gram_in_most_contexts(spark):
