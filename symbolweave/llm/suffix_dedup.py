@@ -204,6 +204,15 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[0::2], edges[1::2] - edges[0::2]
 
 
+def _agreeing(x: bytes, y: bytes) -> int:
+    """How many bytes two strings have in common at their start, by halving."""
+    low, high = 0, min(len(x), len(y))
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if x[:mid] == y[:mid] else (low, mid - 1)
+    return low
+
+
 def _alike(contexts: list[tuple], length: int, gram: int) -> list[tuple[int, int] | None]:
     """The part of each context of one gram that can share a window with another; None if nothing can.
 
@@ -212,6 +221,12 @@ def _alike(contexts: list[tuple], length: int, gram: int) -> list[tuple[int, int
     gram, and in all but ``SPLIT`` of the others after it. What no such window reaches is left out.
     """
     around = length - gram
+    if len(contexts) == 2:  # what the two agree in, to the byte
+        (_, _, p, x), (_, _, q, y) = contexts
+        before, after = _agreeing(x[:p][::-1], y[:q][::-1]), _agreeing(x[p + gram :], y[q + gram :])
+        if before + after < around:
+            return [None, None]
+        return [(skip - before, skip + gram + after) for skip in (p, q)]
     sides = [(x, max(0, around - x - SPLIT)) for x in range(0, around + 1, SPLIT)]
     keys, counts = [], {}
     for _, _, skip, data in contexts:
