@@ -1,8 +1,9 @@
 """Sides of joins that the planner would broadcast by the size of their files, or that were measured too small."""
 
 from conftest import rows
+from pyspark.sql import functions as F
 
-from symbolweave.operators import terraform
+from symbolweave.operators import files, terraform
 
 
 def plan_of(df):
@@ -30,3 +31,14 @@ def test_uses_in_small_files_are_not_broadcast(frame, tmp_path):
     found = terraform.terraform_references(declared, uses, "/w")
     assert "Broadcast" not in plan_of(found)
     assert rows(found) == [("s", "b.tf", "x", [1, 2, 2])] * 2
+
+
+def test_a_position_counts_once_a_level(spark, make_graph):
+    graph = make_graph(documents=[(1, "a.go", None)], symbols=[(1, "x")], chunks=[(1, 1, 0, 9)], mentions=[(1, 1, 0)])
+    asked = lambda n: spark.range(n).select(
+        F.concat(F.lit("q"), "id").alias("query_id"), F.lit("a.go").alias("file"), F.col("id").cast("int").alias("line"))
+    chosen = lambda df: "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
+    assert chosen(files.symbols_at(graph, asked(100)))
+    many = files.symbols_at(graph, asked(50_000))
+    assert not chosen(many)
+    assert many.count() == 10
