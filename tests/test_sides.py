@@ -3,7 +3,7 @@
 from conftest import rows
 from pyspark.sql import functions as F
 
-from symbolweave.operators import files, terraform
+from symbolweave.operators import files, protobuf, terraform
 
 
 def plan_of(df):
@@ -33,6 +33,19 @@ def test_uses_in_small_files_are_not_broadcast(frame, tmp_path):
     assert rows(found) == [("s", "b.tf", "x", [1, 2, 2])] * 2
 
 
+def test_scopes_in_small_files_are_not_broadcast(frame):
+    fields = ("source string, file string, package string, path array<int>, kind string, name string, field_type int, "
+              "type_name string, input_type string, output_type string")
+    made = frame(fields, [
+        ("s", "f", "p", [4, 0], "message", "A", None, None, None, None),
+        ("s", "f", "p", [4, 0, 3, 0], "message", "B", None, None, None, None),
+        ("s", "f", "p", [4, 0, 3, 0, 2, 0], "field", "c", 9, None, None, None),
+    ])
+    named = protobuf.enclosing_names(made)
+    assert "Broadcast" not in plan_of(named)
+    assert rows(named, "name", "scope") == [("A", "p"), ("B", "p/A"), ("c", "p/A/B")]
+
+
 def test_a_position_counts_once_a_level(spark, make_graph):
     graph = make_graph(documents=[(1, "a.go", None)], symbols=[(1, "x")], chunks=[(1, 1, 0, 9)], mentions=[(1, 1, 0)])
     asked = lambda n: spark.range(n).select(
