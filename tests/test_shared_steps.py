@@ -4,7 +4,9 @@ import re
 
 from conftest import rows
 
+from symbolweave.catalog import inputs
 from symbolweave.graph import CodeGraph
+from symbolweave.operators.merge import merge_sources
 from symbolweave.sources import starschema, store
 
 
@@ -67,3 +69,15 @@ def test_sites_are_joined_once(spark, make_graph, tmp_path, monkeypatch):
     store.write_graph(graph, f"{tmp_path}/g", site_buckets=2)
     assert "Join" not in written["file_sites"] and asked
     assert rows(store.load_graph(spark, f"{tmp_path}/g").stored_file_sites, "symbol", "relative_path") == [("x", "a.go")]
+
+
+def test_the_merged_graph_is_that_of_the_stored_sources(spark, tmp_path):
+    """It is merged without storing them, and orders without a customer, whose source is missing, change nothing."""
+    folder = _tables(spark, tmp_path)
+    store.write_graph(merge_sources(inputs.raw_graph(spark, folder)), f"{tmp_path}/merged", site_buckets=2)
+    expected, found = store.load_graph(spark, f"{tmp_path}/merged"), inputs.merged_graph(spark, folder)
+    assert rows(expected.sites(), "source", "role") == [("repo-0", 1), ("repo-0", 8), ("repo-1", 17)]
+    for name in ("documents", "symbols", "chunks", "mentions", "definition_ranges"):
+        assert rows(getattr(found, name)) == rows(getattr(expected, name))
+    assert rows(found.sites().drop("symbol_bucket")) == rows(expected.sites().drop("symbol_bucket"))
+    assert rows(found.stored_file_sites.drop("file_bucket")) == rows(expected.stored_file_sites.drop("file_bucket"))
