@@ -7,7 +7,8 @@ from conftest import rows
 from symbolweave.catalog import inputs
 from symbolweave.graph import CodeGraph
 from symbolweave.operators.merge import merge_sources
-from symbolweave.sources import starschema, store
+from symbolweave.plans import sizing
+from symbolweave.sources import star_inputs, starschema, store
 
 
 def _tables(spark, folder):
@@ -82,3 +83,19 @@ def test_the_merged_graph_is_that_of_the_stored_sources(spark, tmp_path):
         assert rows(getattr(found, name)) == rows(getattr(expected, name))
     assert rows(found.sites().drop("symbol_bucket")) == rows(expected.sites().drop("symbol_bucket"))
     assert rows(found.stored_file_sites.drop("file_bucket")) == rows(expected.stored_file_sites.drop("file_bucket"))
+
+
+def test_tasks_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    """Edges and occurrences were gathered by compressed bytes, so that a task's memory grew with the tables."""
+    folder = _tables(spark, tmp_path)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    few = starschema.star_edges(spark, folder)
+    assert "REPARTITION_BY_NUM" not in plan(few)
+    monkeypatch.setattr(sizing, "ROWS_PER_TASK", 1)
+    many = starschema.star_edges(spark, folder)
+    assert re.findall(r"hashpartitioning\(doc_id#\w+, (\d+)\), REPARTITION_BY_NUM", plan(many)) == ["10", "10"]  # ten lines
+    assert rows(many) == rows(few)
+    named = starschema.named_edges(spark, folder, many)
+    made = star_inputs.star_occurrences(named, 9)
+    assert re.search(r"hashpartitioning\(source#\w+, relative_path#\w+, 9\), REPARTITION_BY_NUM", plan(made))
+    assert rows(made) == rows(star_inputs.star_occurrences(named))
