@@ -99,3 +99,8 @@ def test_tasks_grow_with_the_rows(spark, tmp_path, monkeypatch):
     made = star_inputs.star_occurrences(named, 9)
     assert re.search(r"hashpartitioning\(source#\w+, relative_path#\w+, 9\), REPARTITION_BY_NUM", plan(made))
     assert rows(made) == rows(star_inputs.star_occurrences(named))
+    made.write.parquet(f"{tmp_path}/occurrences")
+    stored = spark.read.parquet(f"{tmp_path}/occurrences")
+    info = star_inputs.star_symbol_info(stored, 9)
+    assert "REPARTITION_BY_NUM" in plan(info)
+    assert rows(info) == rows(star_inputs.star_symbol_info(stored))
