@@ -88,8 +88,7 @@ SELECT query_id, string_agg(display_name, ', ' ORDER BY display_name) AS names
 FROM (SELECT DISTINCT query_id, display_name FROM found) GROUP BY query_id""")
 def _(spark, folder):
     graph = merged_graph(spark, folder)
-    names = reports.distinct_names(files.get_imports(graph, all_files(graph), limit=MAX_RESULTS), MAX_RESULTS)
-    return names.withColumn("names", F.array_join("names", ", "))
+    return reports.joined_names(files.get_imports(graph, all_files(graph)))
 
 
 _WIDE_IMPORTS = f"""{sql.WIDE}, found AS (SELECT DISTINCT file AS query_id, file, symbol, {sql.display('symbol')} AS display_name

@@ -1,7 +1,7 @@
 """Grouped views of query results.
 
-Without a limit every view is rows: its groups can be of any size. With a limit the rows of a group are cut to it before
-they are shuffled, and collected into a list no longer than that.
+Without a limit every view but ``joined_names``, whose result is one text a query, is rows: its groups can be of any size.
+With a limit the rows of a group are cut to it before they are shuffled, and collected into a list no longer than that.
 """
 
 from pyspark.sql import DataFrame, functions as F
@@ -44,3 +44,9 @@ def distinct_names(found: DataFrame, limit: int | None = None) -> DataFrame:
         return names
     first = top_per_key(names, ["query_id"], [F.col("display_name")], limit)
     return first.groupBy("query_id").agg(F.array_sort(F.collect_list("display_name")).alias("names"))
+
+
+def joined_names(found: DataFrame) -> DataFrame:
+    """All distinct display names of a query, sorted and joined by commas."""
+    listed = F.array_sort(F.collect_list("display_name"))
+    return distinct_names(found).groupBy("query_id").agg(F.array_join(listed, ", ").alias("names"))
